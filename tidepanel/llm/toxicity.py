@@ -25,13 +25,13 @@ TERM = re.compile(r"[^\W_]+")
 #: Labelled rows of each class that terms are learned from, and characters of each.
 FIT_TOXIC, FIT_CLEAN, FIT_CHARACTERS = 2500, 5000, 20_000
 #: A term is in this many toxic documents at least, is this much likelier there, and the list holds so many at most.
-SUPPORT, ODDS, TERMS = 3, 30.0, 5000
+SUPPORT, ODDS, TERMS = 4, 30.0, 5000
 #: Stems (beginnings of words) have these lengths, and are learned where so many different words share one.
 STEMS, STEM_WORDS = (4, 5, 6), 3
 #: Documents of the sample that begin or end with the same so many characters are copies; terms are learned from one.
 COPY_CHARACTERS = 60
-#: Words shorter than this are not taken for misspelled terms.
-FUZZY_LENGTH, EDITS = 5, 1
+#: Words shorter than this are not taken for misspelled terms, nor is a term looked for that fewer toxic documents hold.
+FUZZY_LENGTH, EDITS, FUZZY_SUPPORT = 5, 1, 8
 WINDOW, THRESHOLD = 8, 0.5
 MEMORY_WORDS = 600_000
 QUOTES = "\"“”„«»‹›「」"
@@ -63,10 +63,10 @@ class Automaton:
 class Trie:
     """Terms by letters, with weights at their ends; and the halves of terms that any word within one edit shares."""
 
-    def __init__(self, weights: dict[str, float], stems: dict[str, float]):
+    def __init__(self, weights: dict[str, float], stems: dict[str, float], common: set[str]):
         self.weights, self.stems, self.root = weights, stems, {}
         self.heads, self.tails = set(), set()
-        for term in weights:
+        for term in common:
             node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
@@ -115,10 +115,11 @@ FEATURES = 6
 class Model:
     weights: dict[str, float]
     stems: dict[str, float]
+    common: set[str]
     coefficients: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES + 1))
 
     def __post_init__(self):
-        self.trie, self.known = Trie(self.weights, self.stems), {}
+        self.trie, self.known = Trie(self.weights, self.stems, self.common), {}
 
     def features(self, text: str) -> np.ndarray:
         """Sums over the hits: exact and misspelled ones as abuse, the same as quotation, the densest window, hits a word."""
@@ -153,8 +154,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.coefficients[1:] + self.coefficients[0], -30, 30)))
 
 
-def learn_terms(texts: list[str], y: np.ndarray) -> tuple[dict[str, float], dict[str, float]]:
-    """Terms and stems with their weights: logarithms of how much likelier they are in toxic documents."""
+def learn_terms(texts: list[str], y: np.ndarray) -> tuple[dict[str, float], dict[str, float], set[str]]:
+    """Terms and stems with their weights, logarithms of how much likelier they are in toxic documents; the common terms."""
     counts, words_of, n, seen = [Counter(), Counter()], {}, [1, 1], set()
     for text, mark in zip(texts, y):
         ends = {text[:COPY_CHARACTERS].lower(), text[-COPY_CHARACTERS:].lower()}
@@ -177,13 +178,14 @@ def learn_terms(texts: list[str], y: np.ndarray) -> tuple[dict[str, float], dict
         text = term[0] if stem else term
         if c >= SUPPORT and odds >= ODDS and len(text) > 2 and (not stem or len(words_of[text]) >= STEM_WORDS):
             found[stem].append((c * np.log(odds), text, float(np.log(odds))))
-    return tuple({text: weight for _, text, weight in sorted(f, reverse=True)[:TERMS]} for f in found)
+    terms, stems = ({text: weight for _, text, weight in sorted(f, reverse=True)[:TERMS]} for f in found)
+    return terms, stems, {t for t in terms if counts[1][t] >= FUZZY_SUPPORT}
 
 
 def fit(texts: list[str], y: np.ndarray) -> Model:
     """Terms from two thirds of the sample, the logistic model on the rest, whose rare terms are strangers as elsewhere."""
     if len(texts) == 0 or y.max() == 0:
-        model = Model({}, {})
+        model = Model({}, {}, set())
         model.coefficients[0] = -5.0
         return model
     third = np.arange(len(y)) % 3 == 0
