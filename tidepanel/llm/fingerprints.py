@@ -34,32 +34,35 @@ def _negative(a: Column) -> Column:
     return _add(F.bitwise_not(a), F.lit(ONES))
 
 
-def _total(values: Column, lanes) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: _add(acc, lanes(x)))
+def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the fingerprint of a text column as array<long>; a null text counts as the empty one, whose lanes are all 0.
 
+    Time and memory are in proportion to a text's length. The hashes of paragraphs and runs are columns of their own,
+    so that each text is cut once.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    paragraphs = F.transform(F.filter(F.split(whole, "\n"), lambda p: p != ""), lambda p: F.xxhash64(p))
+    runs = F.transform(F.regexp_extract_all(whole, F.lit(rf"(?:[^\s]+[^\S\n]*){{1,{RUN}}}"), F.lit(0)), lambda r: F.xxhash64(F.rtrim(r)))
+    cut = rows.withColumn("_paragraphs", paragraphs).withColumn("_runs", runs)
+    check = [_check(F.col("_paragraphs"), j) for j in range(CHECK)]
+    sketch = [_sketch(F.col("_runs"), j) for j in range(SKETCH)]
+    return cut.withColumn(name, F.array(*check, *sketch, F.size("_runs").cast("long"))).drop("_paragraphs", "_runs")
 
-def fingerprint(text: Column) -> Column:
-    """array<long> of a text; a null text counts as the empty one, whose fingerprint is all zeros.
 
-    Long texts take time in proportion to their length. Lanes wrap as the modulus says.
-    """
-    text = F.coalesce(text, F.lit(""))
-    paragraphs = F.transform(F.filter(F.split(text, "\n"), lambda p: p != ""), lambda p: F.xxhash64(p))
-    runs = F.transform(F.regexp_extract_all(text, F.lit(rf"(?:[^\s]+[^\S\n]*){{1,{RUN}}}"), F.lit(0)), lambda r: F.xxhash64(F.rtrim(r)))
-    return F.concat(
-        F.transform(F.sequence(F.lit(1), F.lit(CHECK)), lambda j: _total(paragraphs, lambda x: F.xxhash64(x, j))),
-        F.transform(F.sequence(F.lit(0), F.lit(SKETCH - 1)), lambda j: _sketch(runs, j)),
-        F.array(F.size(runs).cast("long")),
-    )
+def _check(paragraphs: Column, j: int) -> Column:
+    """Sum of each paragraph's hash under seed j, as four lanes modulo 2^16."""
+    return F.aggregate(paragraphs, F.lit(0).cast("long"), lambda acc, x: _add(acc, F.xxhash64(x, F.lit(j))))
 
 
-def _sketch(runs: Column, j: Column) -> Column:
-    """Sum of bits j, j + 16, j + 32, j + 48 of each run's hash, a lane for each.
+#: Runs that are added without masks: fewer than 2^16, so no lane overflows.
+PLAIN = 60_000
 
-    A lane grows by 1 at most, so even lanes and odd lanes are added apart only when 2^16 - 1 runs have been added:
-    here always, to be exact modulo 2^16.
-    """
-    return F.aggregate(runs, F.lit(0).cast("long"), lambda acc, x: _add(acc, F.call_function("shiftrightunsigned", x, j).bitwiseAND(F.lit(ONES))))
+
+def _sketch(runs: Column, j: int) -> Column:
+    """Sum of bits j, j + 16, j + 32, j + 48 of each run's hash, a lane for each, modulo 2^16."""
+    plain = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda acc, x: acc + F.shiftrightunsigned(x, j).bitwiseAND(F.lit(ONES)))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(runs), F.lit(1)), F.lit(PLAIN))
+    return F.aggregate(starts, F.lit(0).cast("long"), lambda acc, at: _add(acc, plain(F.slice(runs, at, F.lit(PLAIN)))))
 
 
 def plus(a: Column, b: Column) -> Column:
@@ -93,22 +96,23 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both == 0, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * dot(a, b) / both)))
 
 
-def with_next(docs: DataFrame, columns: list[str], buckets: int) -> DataFrame:
-    """docs with next_<c> of the document next in descending doc_id; after the last comes the first.
+def with_next(docs: DataFrame, column: str, derive, buckets: int) -> DataFrame:
+    """doc_id, column, what `derive` adds, and next_<c> of each: those of the next document in descending doc_id; after the last comes the first.
 
     Ranges of doc_id between approximate quantiles are ordered apart. The first row of the range that follows joins
     each range as its last, so no window runs over the whole table, and each text is shuffled once. Repeated doc_ids
-    are ordered by their columns; a null doc_id is the smallest.
+    are ordered by the column; a null doc_id is the smallest.
     """
     edges = sorted({x for x in docs.select(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10_000) if buckets > 1 else F.array().cast("array<long>")).first()[0] or []})
     bucket = F.array_size(F.filter(F.array(*[F.lit(x) for x in edges]).cast("array<long>"), lambda e: e < F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))))) if edges else F.lit(0)
-    rows = docs.select("doc_id", *columns, bucket.alias("_b"), F.lit(0).alias("_guest"))
-    first = rows.groupBy("_b").agg(F.max(F.struct("doc_id", *columns)).alias("_first"))
+    rows = docs.select("doc_id", column, bucket.alias("_b"), F.lit(0).alias("_guest"))
+    first = rows.groupBy("_b").agg(F.max(F.struct("doc_id", column)).alias("_first"))
     down = Window.orderBy(F.col("_b"))
     below = first.select("_b", F.lag("_first").over(down).alias("_next"), F.max("_b").over(Window.partitionBy()).alias("_top"), F.max_by("_first", "_b").over(Window.partitionBy()).alias("_wrap"))
     guests = below.select(F.coalesce("_next", "_wrap").alias("_n"), "_b").select("_n.*", "_b", F.lit(1).alias("_guest"))
-    order = Window.partitionBy("_b").orderBy("_guest", *[F.col(c).desc() for c in ("doc_id", *columns)])
-    led = rows.unionByName(guests).select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
+    order = Window.partitionBy("_b").orderBy("_guest", *[F.col(c).desc() for c in ("doc_id", column)])
+    derived = derive(rows).unionByName(derive(guests))
+    led = derived.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in derived.columns if c not in ("doc_id", "_b", "_guest")])
     return led.where("_guest = 0").drop("_guest", "_b")
 
 
@@ -125,10 +129,9 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     table gives an empty result.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = docs.select("doc_id", text_of().alias("text")).withColumn("fp", fingerprint(F.col("text")))
-    led = with_next(own, ["text", "fp"], buckets)
+    led = with_next(docs.select("doc_id", text_of().alias("text")), "text", lambda rows: with_fingerprint(rows, "text", "fp"), buckets)
     edited = led.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), "fp", "next_fp", edited_text(F.col("text"), F.col("next_text")).alias("edited"))
-    both = edited.withColumn("edited_fp", fingerprint(F.col("edited")))
+    both = with_fingerprint(edited, "edited", "edited_fp")
     lanes = both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "edited_fp", signs(F.col("fp")).alias("_a"), signs(F.col("edited_fp")).alias("_e"), signs(F.col("next_fp")).alias("_n"))
     return lanes.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
