@@ -8,10 +8,12 @@ are the incumbents. Shards hold about SHARD documents at every size of the table
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -28,21 +30,44 @@ NODES = 4000
 #: Fillings of one bin that are tried, and pieces besides the largest that a tried filling holds.
 WIDTH, DEPTH = 3, 3
 SPACES = re.compile(r"[ \n\t\r]+")
-BATCH_BYTES, MEMORY_UNITS = 8 << 20, 600_000
+#: Characters that Python takes for white space and the tokenizer doesn't.
+ODD = "\x1c\x1d\x1e\x1f"
+#: Between a letter and these marks the tokenizer always cuts.
+MARKS = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[,.;:!?])")
+BATCH_BYTES, MEMORY_UNITS = 8 << 20, 1_200_000
+
+
+def units(text: str) -> list[str]:
+    if "<" in text or not (text.isascii() or max(text) <= "ÿ"):
+        return SPACES.split(text)
+    low = MARKS.sub(" ", text.lower())
+    return SPACES.split(low) if any(c in low for c in ODD) else low.split()
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes. Texts are cut at ASCII white space, which the tokenizer drops and merges never cross; each distinct unit is encoded once."""
+    """Ids of texts as little-endian bytes.
+
+    Texts are cut at ASCII white space, which the tokenizer drops and merges never cross; each distinct unit is encoded
+    once. Texts of Latin-1 characters, which lower-casing changes one by one and composition leaves alone, are
+    lower-cased first, as the tokenizer would, and cut between letters and marks too; "<" may open a special string.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
 
+    @classmethod
+    @cache
+    def of(cls, path: str) -> Encoder:
+        """One encoder for all tasks of a Python worker."""
+        return cls(path)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > MEMORY_UNITS:
             self.known = {}
-        cut = [SPACES.split(t) for t in texts]
+        cut = [units(t) for t in texts]
         new = list({u for us in cut for u in us if u not in self.known})
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
@@ -57,7 +82,7 @@ def pieces(docs: DataFrame, model: str = MODEL, capacity: int = CAPACITY) -> Dat
     path, kind = model_path(model), docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, step = Encoder(path), 4 * capacity
+        encoder, step = Encoder.of(path), 4 * capacity
         for batch in batches:
             texts, rows = batch.column("text"), []
 
