@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import documents, text_of
 
 #: A chunk ends where the gear hash's top BITS bits are zero; chunks shorter than LEAST go on, and none is longer than MOST.
-BITS, LEAST, MOST = 6, 24, 512
+BITS, LEAST, MOST = 5, 16, 256
 BLOCK = 4 << 20
 
 

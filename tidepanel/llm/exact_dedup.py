@@ -18,7 +18,7 @@ from .codes import pack_bits, rice_decode, rice_encode, unpack_bits
 from .common import ascii_lower, documents, durable, shards_for, text_of
 
 #: Hashes that one owner compares in one task.
-OWNER_HASHES = 500_000
+OWNER_HASHES = 2_000_000
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def _owned(hashes: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
 def _cuts(values: np.ndarray, owners: int) -> np.ndarray:
     """Where each owner's range of hashes starts in the sorted values."""
     step = (1 << 64) // owners
-    return np.searchsorted(values, np.array([step * i for i in range(owners)] , np.uint64)).tolist() + [len(values)]
+    return np.searchsorted(values, np.array([step * i for i in range(owners)], np.uint64)).tolist() + [len(values)]
 
 
 def suspects(signed: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def suspects(signed: DataFrame) -> DataFrame:
 
     sent = signed.select("src", "h").groupBy("src").applyInPandas(send, "src int, owner int, code binary")
     marks = sent.groupBy("owner").applyInPandas(mark, "src int, owner int, marks binary")
-    return signed.groupBy("src").cogroup(marks.groupBy("src")).applyInPandas(pick, "text_sha256 string").distinct()
+    return signed.select("src", "h", "text_sha256").groupBy("src").cogroup(marks.groupBy("src")).applyInPandas(pick, "text_sha256 string").distinct()
 
 
 def duplicate_groups(docs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -101,10 +101,10 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     stay together.
     """
     signed = durable(signatures(docs))
-    groups = durable(duplicate_groups(docs, signed)).select(F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_keep"))
+    groups = durable(duplicate_groups(docs, signed)).select(F.col("text_sha256").alias("_tide_group"), F.col("keep_id").alias("_tide_keep"))
     sha = F.sha2(ascii_lower(text_of()), 256)
-    joined = docs.withColumn("_of", sha).join(groups, F.col("_of") == F.col("_sha"), "left")
-    return joined.where(F.col("_sha").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = docs.withColumn("_tide_sha", sha).join(groups, F.col("_tide_sha") == F.col("_tide_group"), "left")
+    return joined.where(F.col("_tide_group").isNull() | F.col("doc_id").eqNullSafe(F.col("_tide_keep"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

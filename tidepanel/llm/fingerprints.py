@@ -103,7 +103,8 @@ def with_next(docs: DataFrame, column: str, derive, buckets: int) -> DataFrame:
     each range as its last, so no window runs over the whole table, and each text is shuffled once. Repeated doc_ids
     are ordered by the column; a null doc_id is the smallest.
     """
-    edges = sorted({x for x in docs.select(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10_000) if buckets > 1 else F.array().cast("array<long>")).first()[0] or []})
+    at = [i / buckets for i in range(1, max(2, buckets))]
+    edges = sorted(set(docs.select(F.percentile_approx("doc_id", at, 10_000)).first()[0] or []))
     bucket = F.array_size(F.filter(F.array(*[F.lit(x) for x in edges]).cast("array<long>"), lambda e: e < F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))))) if edges else F.lit(0)
     rows = docs.select("doc_id", column, bucket.alias("_b"), F.lit(0).alias("_guest"))
     first = rows.groupBy("_b").agg(F.max(F.struct("doc_id", column)).alias("_first"))

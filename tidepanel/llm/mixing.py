@@ -128,10 +128,10 @@ def mix(docs: DataFrame, cap: float = 3.0) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, cap: float = 3.0) -> DataFrame:
     """The mix itself: each row of docs as often as it is taken, with all its columns."""
-    taken = mix(docs, cap).where("copies > 0").select(F.col("source").alias("_s"), F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("copies").alias("_copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.xxhash64(text_of()) == F.col("_h"))
+    taken = mix(docs, cap).where("copies > 0").select(F.col("source").alias("_tide_s"), F.col("doc_id").alias("_tide_d"), F.col("text_hash").alias("_tide_h"), F.col("copies").alias("_tide_n"))
+    same = F.col("doc_id").eqNullSafe(F.col("_tide_d")) & F.col("source").eqNullSafe(F.col("_tide_s")) & (F.xxhash64(text_of()) == F.col("_tide_h"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    return docs.join(taken, same).withColumn("_tide_copy", F.explode(F.sequence(F.lit(1), F.col("_tide_n").cast("int")))).select(*names)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

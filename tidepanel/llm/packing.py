@@ -263,9 +263,11 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard_documents: int = SHAR
         out[mine] = placed[:, 1:]
         return pdf.assign(sequence_id=(shard << 32) + out[:, 0], offset=out[:, 1])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
-    dealt = found.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("_shard").applyInPandas(place, f"{fields}, sequence_id long, offset long")
+    kind = found.schema["doc_id"].dataType
+    dealt = found.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).withColumn("doc_id", F.col("doc_id").cast("string"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.drop("_shard").schema)
+    placed = dealt.groupBy("_shard").applyInPandas(place, f"{fields}, sequence_id long, offset long")
+    return placed.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def pack_documents(docs: DataFrame, model: str = MODEL, capacity: int = CAPACITY) -> DataFrame:

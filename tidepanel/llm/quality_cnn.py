@@ -83,11 +83,13 @@ def responses(net: Network, x: np.ndarray) -> np.ndarray:
 
 def scores(net: Network, texts: list[bytes]) -> np.ndarray:
     """Probabilities of label 1. A text longer than BLOCK is read in blocks that overlap by a chunk and the longest lag."""
-    pieces, owner = [], []
+    pieces, owner, own = [], [], []  # own: the first half chunk of each piece that counts, and how many do
     lead = -(-max(LAGS) // HALF) * HALF
     for i, t in enumerate(texts):
         for at in range(0, max(len(t), 1), BLOCK):
-            pieces.append(t[max(0, at - lead) : at + BLOCK + HALF])
+            before = min(at, lead)
+            pieces.append(t[at - before : at + BLOCK + HALF])
+            own.append((before // HALF, -(-min(BLOCK, len(t) - at) // HALF)))
             owner.append(i)
     pooled = np.zeros((len(texts), FILTERS), np.float32)
     at = 0
@@ -96,11 +98,11 @@ def scores(net: Network, texts: list[bytes]) -> np.ndarray:
         while end < len(pieces) and (end == at or size + len(pieces[end]) <= BLOCK):
             size += len(pieces[end])
             end += 1
-        buffer, starts, chunks = lay_out(pieces[at:end])
+        buffer, starts, _ = lay_out(pieces[at:end])
         r = responses(net, inputs(net, buffer))
         live = np.zeros(len(r), bool)
-        for s, c, p in zip(starts, chunks, pieces[at:end]):
-            live[s : s + c] = len(p) > 0
+        for s, (first, n) in zip(starts, own[at:end]):
+            live[s + first : s + first + n] = True
         r[~live] = 0
         np.maximum.at(pooled, owner[at:end], np.maximum.reduceat(r, starts, axis=0))
         at = end
@@ -169,11 +171,11 @@ def quality_scores(docs: DataFrame, marks: DataFrame, threshold: float = THRESHO
 
 def keep_quality(docs: DataFrame, marks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that score at least the threshold, with all their columns, in one pass without a shuffle."""
-    net = train(docs, marks)
+    net, place = train(docs, marks), docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t.as_py() or "").encode() for t in batch.column(docs.columns.index("text"))]
+            texts = [(t.as_py() or "").encode() for t in batch.column(place)]
             yield batch.filter(pa.array(scores(net, texts) >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)

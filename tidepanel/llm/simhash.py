@@ -176,8 +176,8 @@ def near_dedup(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> Dat
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its component, with all their columns; rows that repeat it stay together."""
     prints = durable(fingerprints(docs, words))
-    stay = prints.join(near_components(prints, radius), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    stay = prints.join(near_components(prints, radius), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_tide_stays")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_tide_stays")), "left_semi")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

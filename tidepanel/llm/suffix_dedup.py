@@ -89,8 +89,8 @@ class Block:
     """The documents of a block, in an order that only their content decides."""
 
     def __init__(self, pdf: pd.DataFrame):
-        pdf = pdf[pdf["doc_id"].notna()].sort_values(["doc_id", "text"], kind="stable")
-        self.ids = pdf["doc_id"].astype("int64").tolist()
+        pdf = pdf[pdf["known"]].sort_values(["doc_id", "text"], kind="stable")
+        self.ids = pdf["doc_id"].tolist()
         self.texts = [t.encode() for t in pdf["text"]]
         self.found = [anchors(np.frombuffer(t, np.uint8)) for t in self.texts]
         each = [np.unique(f[0]) for f in self.found]
@@ -238,7 +238,7 @@ def induced_windows(e: np.ndarray) -> np.ndarray:
 
 def dealt_blocks(docs: DataFrame) -> DataFrame:
     blocks = shards_for(text_bytes(docs), BLOCK_BYTES)
-    rows = docs.select("doc_id", text_of().alias("text"))
+    rows = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), text_of().alias("text"))
     return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
 
@@ -316,9 +316,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
             elif mask := int(masks[number]):
                 windows[i][first : last + 1] |= (mask >> np.arange(last - first + 1)) & 1 == 1
         rows = [(d, *removed(t, w)) for d, t, w in zip(block.ids, block.texts, windows)]
-        rows += [(None, *removed(t.encode(), np.zeros(0, bool))) for t in pdf.loc[pdf["doc_id"].isna(), "text"]]
-        out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-        return out.astype({"doc_id": "Int64"})
+        rows += [(None, *removed(t.encode(), np.zeros(0, bool))) for t in pdf.loc[~pdf["known"], "text"]]
+        ids, *rest = zip(*rows)
+        return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), **dict(zip(["n_bytes", "n_removed", "n_spans", "kept_sha256"], rest))})
 
     fields = "block int, shard int, payload binary"
     sent = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(send, fields)
