@@ -96,7 +96,7 @@ def walk_forward(frame: DataFrame, models: dict[str, tuple[list[str], Callable[[
     """
     rows = labelled(frame).persist(StorageLevel.DISK_ONLY_2)
     monthly = [tuple(r) for r in rows.groupBy("month").agg(F.count("*"), F.sum("y")).orderBy("month").collect()]
-    tested = baselines(rows, burn_in, drop_last)
+    tested = baselines(rows, burn_in, drop_last).persist(StorageLevel.DISK_ONLY_2)
 
     def at(i: int) -> DataFrame | None:
         month, n, s = monthly[i][0], sum(m[1] for m in monthly[:i]), sum(m[2] for m in monthly[:i])
