@@ -8,13 +8,16 @@ would write several times its size, so suffixes are sampled and the rest is indu
   are a stretch of LENGTH to LENGTH + LENGTH - GRAM bytes.
 - Blocks of documents send the sorted hashes of their anchors to shards, Rice-coded, and receive a bit for each: does
   another document hold it? Anchors of one document hold no shared window and go no further.
-- Blocks send the distinct stretches of the other anchors, with the smallest doc_id that holds each.
-- A shard keeps them in a disk-backed priority queue by anchor. It sorts the suffixes that begin at anchors, with the
-  length of the prefix each shares with its neighbour, and then induces the order of the suffixes one byte further to
-  the left, again and again: a stable sort by that byte, and one more than the smallest shared prefix of those passed
-  over. Runs that share LENGTH bytes are one window, and its smallest doc_id goes back to the blocks.
-
-Anchor hashes only choose what is compared; windows are equal when their bytes are.
+- Blocks send a digest of each distinct stretch of the other anchors, with the smallest doc_id that holds it. A stretch
+  that an earlier document holds whole needs no more, nor does one that is the only one of its anchor.
+- What is left, the earliest copy of each of several stretches of one anchor, is sent as bytes. A shard keeps it in a
+  disk-backed priority queue by anchor. It sorts the suffixes that begin at anchors, with the length of the prefix each
+  shares with its neighbour, and then induces the order of the suffixes one byte further to the left, again and again:
+  a stable sort by that byte, and one more than the smallest shared prefix of those passed over. Runs that share LENGTH
+  bytes are one window, and what its smallest doc_id covers goes back to the blocks.
+
+Stretches are equal when 40 bits of anchor hash and 64 bits of digest are; windows of different stretches when their
+bytes are.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +39,8 @@ from .common import documents, durable, shards_for, text_bytes, text_of
 LENGTH, GRAM = 50, 32
 SPAN = LENGTH - GRAM + 1  # grams in a window
 WIDEST = LENGTH + SPAN - 1
-BLOCK_BYTES, SHARD_BYTES, SEGMENT = 8 << 20, 24 << 20, 1 << 21
+ROW = -(-WIDEST // 8) * 8
+BLOCK_BYTES, SHARD_BYTES, SEGMENT = 6 << 20, 12 << 20, 1 << 21
 #: Bytes of stretches that a shard's queue holds in memory, and stretches that are sorted at once.
 QUEUE_BYTES, SORTED = 48 << 20, 100_000
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -85,61 +91,98 @@ def cuts_of(values: np.ndarray, edges: np.ndarray) -> list[int]:
     return [0, *np.searchsorted(values, edges).tolist(), len(values)]
 
 
+def pack_documents(ids: list[int], known: list[bool], texts: list[bytes]) -> bytes:
+    head = np.array([len(ids)], "<i8").tobytes() + np.array(ids, "<i8").tobytes() + np.array(known, "u1").tobytes() + np.array([len(t) for t in texts], "<i8").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(texts))
+
+
+def unpack_documents(blob: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    ids, known, sizes = np.frombuffer(data, "<i8", n, 8), np.frombuffer(data, "u1", n, 8 + 8 * n), np.frombuffer(data, "<i8", n, 8 + 9 * n)
+    ends = 8 + 17 * n + np.cumsum(sizes)
+    return ids, known.astype(bool), [data[e - z : e] for e, z in zip(ends.tolist(), sizes.tolist())]
+
+
 class Block:
-    """The documents of a block, in an order that only their content decides."""
+    """The documents of a block, in an order that only their content decides, and their anchors in order of hash."""
 
     def __init__(self, pdf: pd.DataFrame):
-        pdf = pdf[pdf["known"]].sort_values(["doc_id", "text"], kind="stable")
-        self.ids = pdf["doc_id"].tolist()
-        self.texts = [t.encode() for t in pdf["text"]]
-        self.found = [anchors(np.frombuffer(t, np.uint8)) for t in self.texts]
-        each = [np.unique(f[0]) for f in self.found]
-        hashes = np.concatenate([np.empty(0, np.uint64), *each])
-        same = {}
-        for d, h in zip(self.ids, each):  # rows of one doc_id are one document
-            same.setdefault(d, []).append(h)
-        if len(same) < len(each):
-            hashes = np.concatenate([np.unique(np.concatenate(x)) for x in same.values()])
-        self.hashes, counts = np.unique(hashes, return_counts=True)
-        self.shared = counts > 1
+        rows, self.free = [], []  # free: texts of rows without a doc_id
+        for blob in pdf["payload"]:
+            for i, known, text in zip(*unpack_documents(blob)):
+                rows.append((int(i), text)) if known else self.free.append(text)
+        rows.sort()
+        self.ids, self.texts = np.array([i for i, _ in rows], np.int64), [t for _, t in rows]
+        self.starts = np.cumsum([0, *map(len, self.texts)])
+        self.buffer = np.frombuffer(b"".join(self.texts) + bytes(ROW), np.uint8)
+        found = [anchors(self.buffer[a:b]) for a, b in zip(self.starts, self.starts[1:])]
+        doc = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+        h, place, first, last = (np.concatenate([np.empty(0, np.uint64 if k == 0 else np.int64), *[f[k] for f in found]]) for k in range(4))
+        order = np.argsort(h, kind="stable")
+        self.hash, self.doc = h[order], doc[order]
+        base = self.starts[self.doc]
+        self.place, self.first, self.last = place[order] + base, first[order] + base, last[order] + base
+        begin = np.flatnonzero(np.r_[True, self.hash[1:] != self.hash[:-1]]) if len(h) else np.empty(0, np.int64)
+        self.hashes, self.counts = self.hash[begin], np.diff(np.r_[begin, len(h)])
+        held = self.ids[self.doc]  # rows of one doc_id are one document
+        self.shared = np.minimum.reduceat(held, begin) < np.maximum.reduceat(held, begin) if len(h) else np.empty(0, bool)
 
     def mark(self, marks: pd.DataFrame, edges: np.ndarray) -> None:
+        """Takes the bits of the other blocks."""
         cuts = cuts_of(self.hashes, edges)
         for s, blob in zip(marks["shard"], marks["payload"]):
             self.shared[cuts[s] : cuts[s + 1]] |= unpack_bits(blob, cuts[s + 1] - cuts[s])
-
-    def stretches(self) -> Iterator[tuple[int, int, int, int, int, bytes]]:
-        """Document, hash, place, first and last window and bytes of each shared anchor."""
-        for i, (h, place, first, last) in enumerate(self.found):
-            if not len(h):
-                continue
-            text = self.texts[i]
-            hit = np.flatnonzero(self.shared[np.searchsorted(self.hashes, h)])
-            for a, p, b, e in zip(h[hit].tolist(), place[hit].tolist(), first[hit].tolist(), last[hit].tolist()):
-                yield i, a, p - b, b, e, text[b : e + LENGTH]
-
-    def entries(self) -> dict[tuple[int, bytes], list[int]]:
-        """Distinct stretches in order: hash and bytes -> the smallest doc_id, the anchor's place in it, its number."""
-        table: dict[tuple[int, bytes], list[int]] = {}
-        for i, h, place, _, _, piece in self.stretches():  # documents come in order of doc_id
-            table.setdefault((h, piece), [self.ids[i], place, 0])
-        for n, key in enumerate(sorted(table)):
-            table[key][2] = n
-        return table
+        self.find()
+
+    def recall(self, answers: pd.DataFrame) -> None:
+        """Takes the bits that the block sent itself."""
+        self.shared = unpack_bits(answers.loc[answers["kind"] == 0, "payload"].iloc[0], len(self.hashes))
+        self.find()
+
+    def find(self) -> None:
+        """The distinct stretches of the shared anchors."""
+        hit = np.flatnonzero(np.repeat(self.shared, self.counts))
+        digest = np.empty(len(hit), np.uint64)
+        for at in range(0, len(hit), SORTED):
+            digest[at : at + SORTED] = digests(self.rows(hit[at : at + SORTED]), self.size(hit[at : at + SORTED]))
+        order = np.lexsort((self.doc[hit], digest, self.hash[hit]))
+        self.hit, digest = hit[order], digest[order]
+        h = self.hash[self.hit]
+        new = np.r_[True, (h[1:] != h[:-1]) | (digest[1:] != digest[:-1])] if len(h) else np.empty(0, bool)
+        self.entry_of = np.cumsum(new) - 1
+        self.lead = self.hit[new]  # the anchor of each stretch's first document
+        self.entry_hash, self.entry_digest, self.entry_doc = h[new], digest[new], self.ids[self.doc[self.lead]]
+
+    def size(self, which: np.ndarray) -> np.ndarray:
+        return self.last[which] - self.first[which] + LENGTH
+
+    def rows(self, which: np.ndarray) -> np.ndarray:
+        """The bytes of stretches, a row each, with zeros at the end."""
+        out = np.lib.stride_tricks.sliding_window_view(self.buffer, ROW)[self.first[which]]
+        out[np.arange(ROW) >= self.size(which)[:, None]] = 0
+        return out
+
+
+def digests(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64 bits of each row and its size."""
+    h = size.astype(np.uint64) * np.uint64(MULTIPLIER)
+    for column in rows.view("<u8").T:
+        h = (h ^ column) * np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(32)
+    return h
 
 
 ENTRY = np.dtype([("hash", "u8"), ("doc", "i8"), ("run", "u4"), ("number", "u4"), ("size", "u1"), ("place", "u1"), ("bytes", "u1", (WIDEST,))])
+#: What the classes of stretches answer: nothing else to compare, all covered, or bytes are wanted.
+ALONE, COVERED, WANTED = 0, 1, 2
 
 
-def pack_entries(table: dict[tuple[int, bytes], list[int]]) -> np.ndarray:
-    out = np.zeros(len(table), ENTRY)
-    keys = sorted(table)
-    if keys:
-        out["hash"] = [h for h, _ in keys]
-        values = [table[k] for k in keys]
-        out["doc"], out["place"], out["number"] = ([v[j] for v in values] for j in range(3))
-        out["size"] = [len(b) for _, b in keys]
-        out["bytes"] = np.frombuffer(b"".join(b.ljust(WIDEST, b"\0") for _, b in keys), np.uint8).reshape(-1, WIDEST)
+def pack_entries(block: Block, which: np.ndarray) -> np.ndarray:
+    out, lead = np.zeros(len(which), ENTRY), block.lead[which]
+    out["hash"], out["doc"] = block.entry_hash[which], block.entry_doc[which]
+    out["size"], out["place"] = block.size(lead), block.place[lead] - block.first[lead]
+    out["bytes"] = block.rows(lead)[:, :WIDEST] if len(which) else out["bytes"]
     return out
 
 
@@ -237,9 +280,21 @@ def induced_windows(e: np.ndarray) -> np.ndarray:
 
 
 def dealt_blocks(docs: DataFrame) -> DataFrame:
+    """block, payload: documents dealt to blocks by a hash, those of an Arrow batch that share a block compressed together."""
     blocks = shards_for(text_bytes(docs), BLOCK_BYTES)
     rows = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), text_of().alias("text"))
-    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, known, block = (batch.column(c).to_pylist() for c in ("doc_id", "known", "block"))
+            of: dict[int, list[int]] = {}
+            for i, b in enumerate(block):
+                of.setdefault(b, []).append(i)
+            texts = batch.column("text")
+            packed = [pack_documents([ids[i] for i in mine], [known[i] for i in mine], [texts[i].as_py().encode() for i in mine]) for mine in of.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.int32()), pa.array(packed, pa.binary())], names=["block", "payload"])
+
+    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).mapInArrow(compress, "block int, payload binary")
 
 
 def shared_anchors(blocks: DataFrame, edges: np.ndarray) -> DataFrame:
@@ -272,16 +327,56 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     total = text_bytes(docs)
     edges = shard_edges(shards_for(total, SHARD_BYTES))
     blocks = dealt_blocks(docs)
-    marks = durable(shared_anchors(blocks, edges))
+    marks = shared_anchors(blocks, edges)
+    fields = "block int, shard int, payload binary"
 
-    def send(pdf: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-        if not len(pdf):
-            return pd.DataFrame(columns=["block", "shard", "payload"])
+    def parts(pdf: pd.DataFrame, hashes: np.ndarray, make) -> pd.DataFrame:
+        cuts = cuts_of(hashes, edges)
+        rows = [(int(pdf["block"].iloc[0]), s, make(s, a, b)) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        return pd.DataFrame(rows, columns=["block", "shard", "payload"])
+
+    def joined(answers: pd.DataFrame, kind: int, dtype) -> np.ndarray:
+        mine = answers[answers["kind"] == kind].sort_values("shard")
+        return np.frombuffer(b"".join(mine["payload"]), dtype)
+
+    def send_digests(pdf: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         block = Block(pdf)
         block.mark(marks, edges)
-        packed = pack_entries(block.entries())
-        cuts = cuts_of(packed["hash"], edges)
-        return pd.DataFrame([(int(pdf["block"].iloc[0]), s, packed[a:b].tobytes()) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a], columns=["block", "shard", "payload"])
+
+        def pack(s: int, a: int, b: int) -> bytes:
+            code = rice_encode(block.entry_hash[a:b] - (edges[s - 1] if s else np.uint64(0)))
+            return len(code).to_bytes(8, "little") + code + block.entry_digest[a:b].tobytes() + block.entry_doc[a:b].tobytes()
+
+        number = int(pdf["block"].iloc[0])  # the block's own bits pass through the shards, in groups of their own
+        own = pd.DataFrame([(number, -1 - number, pack_bits(block.shared))], columns=["block", "shard", "payload"])
+        return pd.concat([parts(pdf, block.entry_hash, pack), own])
+
+    def classes(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["shard"].iloc[0] < 0:
+            return pdf
+        found = []
+        for blob in pdf["payload"]:
+            size = int.from_bytes(blob[:8], "little")
+            h = rice_decode(blob[8 : 8 + size])
+            found.append((h, np.frombuffer(blob, "<u8", len(h), 8 + size), np.frombuffer(blob, "<i8", len(h), 8 + size + 8 * len(h))))
+        h, digest, doc = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((doc, digest, h))
+        hs, ds = h[order], digest[order]
+        anchor = np.r_[True, hs[1:] != hs[:-1]]
+        stretch = anchor | np.r_[True, ds[1:] != ds[:-1]]
+        first = np.maximum.accumulate(np.where(stretch, np.arange(len(hs)), 0))
+        group = np.cumsum(anchor) - 1
+        several = np.bincount(group, stretch)[group] > 1
+        state = np.empty(len(h), np.uint8)
+        state[order] = np.where(doc[order] > doc[order][first], COVERED, np.where(several, WANTED, ALONE))
+        ends = np.cumsum([len(f[0]) for f in found])
+        return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"], "payload": [state[e - len(f[0]) : e].tobytes() for f, e in zip(found, ends)]})
+
+    def send_bytes(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        block = Block(pdf)
+        block.recall(answers)
+        packed = pack_entries(block, np.flatnonzero(joined(answers, 1, np.uint8) == WANTED))
+        return parts(pdf, packed["hash"], lambda s, a, b: packed[a:b].tobytes())
 
     def sort(pdf: pd.DataFrame) -> pd.DataFrame:
         queue, sizes = SpillQueue(), []
@@ -301,32 +396,41 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
         return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"], "payload": [m.tobytes() for m in out]})
 
     def cut(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        if not len(pdf):
-            return pd.DataFrame(columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
         block = Block(pdf)
-        block.mark(answers[answers["kind"] == 0], edges)
-        table = block.entries()
-        replies = answers[answers["kind"] == 1].sort_values("shard")
-        masks = np.frombuffer(b"".join(replies["payload"]), np.uint32)
-        windows = [np.zeros(max(0, len(t) - LENGTH + 1), bool) for t in block.texts]
-        for i, h, _, first, last, piece in block.stretches():
-            doc, _, number = table[h, piece]
-            if block.ids[i] > doc:
-                windows[i][first : last + 1] = True
-            elif mask := int(masks[number]):
-                windows[i][first : last + 1] |= (mask >> np.arange(last - first + 1)) & 1 == 1
-        rows = [(d, *removed(t, w)) for d, t, w in zip(block.ids, block.texts, windows)]
-        rows += [(None, *removed(t.encode(), np.zeros(0, bool))) for t in pdf.loc[~pdf["known"], "text"]]
+        block.recall(answers)
+        state = joined(answers, 1, np.uint8)
+        masks = np.zeros(len(state), np.uint32)
+        masks[state == WANTED] = joined(answers, 2, np.uint32)
+        windows = covered_windows(block, state, masks)
+        rows = [(int(d), *removed(t, windows[a : max(a, b - LENGTH + 1)])) for d, t, a, b in zip(block.ids, block.texts, block.starts, block.starts[1:])]
+        rows += [(None, *removed(t, np.zeros(0, bool))) for t in block.free]
         ids, *rest = zip(*rows)
         return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), **dict(zip(["n_bytes", "n_removed", "n_spans", "kept_sha256"], rest))})
 
-    fields = "block int, shard int, payload binary"
-    sent = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(send, fields)
-    replies = sent.groupBy("shard").applyInPandas(sort, fields)
-    answers = marks.withColumn("kind", F.lit(0)).unionByName(replies.withColumn("kind", F.lit(1)))
+    of = lambda df, kind: df.withColumn("kind", F.lit(kind))
+    sent = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(send_digests, fields)
+    states = durable(sent.groupBy("shard").applyInPandas(classes, fields))
+    known = states.withColumn("kind", F.when(F.col("shard") < 0, 0).otherwise(1))
+    wanted = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(send_bytes, fields)
+    answers = known.unionByName(of(wanted.groupBy("shard").applyInPandas(sort, fields), 2))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+def covered_windows(block: Block, state: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """For each place of the block's buffer: is the window that begins there covered?"""
+    out = np.zeros(len(block.buffer) + 1, bool)
+    entry, first, last = block.entry_of, block.first[block.hit], block.last[block.hit]
+    whole = (block.ids[block.doc[block.hit]] > block.entry_doc[entry]) | (state[entry] == COVERED)
+    change = np.zeros(len(out), np.int32)
+    np.add.at(change, first[whole], 1)
+    np.add.at(change, last[whole] + 1, -1)
+    out |= np.cumsum(change) > 0
+    some = np.flatnonzero(~whole & (masks[entry] > 0))
+    for t in range(SPAN):
+        out[first[some[(masks[entry[some]] >> np.uint32(t)) & 1 == 1]] + t] = True
+    return out
+
+
 def removed(text: bytes, windows: np.ndarray) -> tuple[int, int, int, str]:
     """n_bytes, n_removed, n_spans and the hash of what is left, from the windows that are covered."""
     hit = np.flatnonzero(windows)
