@@ -341,13 +341,6 @@ def trained_scores(spark, d):
     return bundle.score(model.at_risk(frame)).select("chemical", month_text(F.col("month")).alias("month"), "score")
 
 
-def walk_forward_logistic(spark, d):
-    """The logistic model on both feature sets, fitted anew for each test month."""
-    frame = model.model_frame(lagjoin.fair_set(_lagged(spark, d), ["items_mom_growth_epd", "log_items_epd"]))
-    rows = model.walk_forward(frame, {"history": (model.HISTORY, model.logistic), "with_volume": (model.WITH_VOLUME, model.logistic)})
-    return rows.select("chemical", month_text(F.col("month")).alias("month"), "y", "base_rate", "seasonal_rate", "history", "with_volume")
-
-
 QUERIES = {f.__name__: f for f in (
     volume_hhi_brand, volume_hhi_part, volume_hhi_members, volume_cross_check, series_profile, canonical_names, unstable_packs, pack_history, chemical_history,
     persistence_pack, persistence_chemical, recent_panel_rows, lagged_features, lagged_coverage, fair_comparison_set, lagged_through_codes, baseline_rates,
@@ -355,5 +348,5 @@ QUERIES = {f.__name__: f for f in (
     duplicate_code_months, month_sizes_off, overlapping_months, merged_sources, packs_without_events, late_start_packs, unprocessed_months, wrong_month_rows,
     run_metrics, resolved_names, resolution_tally, resolver_known_answers, volume_over_codes, partial_volume_names, json_series, page_links, page_month_links,
     page_text_links, page_latest_tokens, price_page_rows, price_page_faults, fact_sentences, sentence_audits, explained_top, latest_predictions, entity_history,
-    table_totals, trained_scores, walk_forward_logistic,
+    table_totals, trained_scores,
 )}
