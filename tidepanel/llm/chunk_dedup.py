@@ -19,6 +19,8 @@ from .common import documents, text_of
 #: A chunk ends where the gear hash's top BITS bits are zero; chunks shorter than LEAST go on, and none is longer than MOST.
 BITS, LEAST, MOST = 5, 16, 256
 BLOCK, SPAN = 4 << 20, 1024
+#: Chunks of common words meet by chance; a run of repeated chunks shorter than this stays, unless it is the whole text.
+LEAST_RUN = 64
 
 
 def gear(seed: int = 2024) -> np.ndarray:
@@ -84,10 +86,21 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     return found.join(shared, ["d1", "d2"]).where("doc_id > first_doc")
 
 
+def runs(spans: list[int], size: int) -> list[tuple[int, int]]:
+    """Begin and end of the runs of adjacent spans that are long enough to remove."""
+    out: list[tuple[int, int]] = []
+    for begin, n in (divmod(s, SPAN) for s in spans):
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], begin + n))
+        else:
+            out.append((begin, begin + n))
+    return [(a, b) for a, b in out if b - a >= LEAST_RUN or b - a == size]
+
+
 def chunk_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row of docs (doc_id, text; more columns are ignored).
 
-    n_spans counts maximal removed runs; kept_sha256 is of the bytes that remain, in order. Chunks of rows with a null
+    A run of such chunks is removed when it has LEAST_RUN bytes or is the whole text; n_spans counts removed runs; kept_sha256 is of the bytes that remain, in order. Chunks of rows with a null
     doc_id, and chunks that repeat within one doc_id only, stay. Rows that repeat a doc_id must have the same text or
     their spans are joined. Null texts are empty. An empty table gives an empty result.
     """
@@ -98,14 +111,14 @@ def chunk_dedup(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for text, spans in zip(batch.column("text"), batch.column("spans")):
-                data, kept, at, n, runs = text.as_py().encode(), hashlib.sha256(), 0, 0, 0
-                for begin, size in (divmod(s, SPAN) for s in spans.as_py() or ()):
-                    runs += n == 0 or begin > at
+                data, kept, at, n = text.as_py().encode(), hashlib.sha256(), 0, 0
+                found = runs(spans.as_py() or (), len(data))
+                for begin, end in found:
                     kept.update(data[at:begin])
-                    at = begin + size
-                    n += size
+                    at = end
+                    n += end - begin
                 kept.update(data[at:])
-                rows.append((len(data), n, runs, kept.hexdigest()))
+                rows.append((len(data), n, len(found), kept.hexdigest()))
             a, b, c, d = zip(*rows) if rows else ([],) * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
