@@ -231,7 +231,7 @@ def test_facts_and_audits(spark):
     check = lambda text_: told.select(explain.problems(F.col("facts"), F.lit(text_))).first()[0]
     assert check("two months since concession, one episode, rate 12% over eight") == []
     assert check("two months since concession, one episode, rate 13% over 8") == ["12%"]
-    assert check("three months since concession, one episode, rate 12% over 8") == ["2"] or True
+    assert check("two months since concession, one episode, rate 12% over nine") == ["8"]
     assert "1 previous episode" in check("2 months since concession, rate 12% over 8, 1")
 
 
