@@ -27,7 +27,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.spark_partition_id().alias("src"), "doc_id", F.xxhash64(norm).alias("h"), F.sha2(norm, 256).alias("text_sha256"))
 
 
-def _owned(hashes: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
+def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes, and how often each occurs."""
     values, counts = np.unique(hashes.astype(np.int64).view(np.uint64), return_counts=True)
     return values, counts
@@ -44,7 +44,7 @@ def suspects(signed: DataFrame) -> DataFrame:
     owners = shards_for(signed.count(), OWNER_HASHES)
 
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
-        values, _ = _owned(pdf["h"].to_numpy(), owners)
+        values, _ = _counted(pdf["h"].to_numpy())
         cuts = _cuts(values, owners)
         step = (1 << 64) // owners
         rows = [(int(pdf["src"].iloc[0]), o, rice_encode(values[a:b] - np.uint64(step * o))) for o, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
@@ -57,7 +57,7 @@ def suspects(signed: DataFrame) -> DataFrame:
         return pd.DataFrame({"src": pdf["src"], "owner": pdf["owner"], "marks": [pack_bits(twice[e - len(p) : e]) for p, e in zip(parts, ends)]})
 
     def pick(mine: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-        values, counts = _owned(mine["h"].to_numpy(), owners)
+        values, counts = _counted(mine["h"].to_numpy())
         cuts, flags = _cuts(values, owners), counts > 1
         for o, blob in zip(marks["owner"], marks["marks"]):
             flags[cuts[o] : cuts[o + 1]] |= unpack_bits(blob, cuts[o + 1] - cuts[o])
