@@ -34,7 +34,7 @@ SPACES = re.compile(r"[ \n\t\r]+")
 ODD = "\x1c\x1d\x1e\x1f"
 #: Between a letter and these marks the tokenizer always cuts.
 MARKS = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[,.;:!?])")
-BATCH_BYTES, MEMORY_UNITS = 8 << 20, 1_200_000
+BATCH_BYTES, MEMORY_UNITS = 4 << 20, 250_000
 
 
 def units(text: str) -> list[str]:
@@ -56,7 +56,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.old = Tokenizer.from_file(path), {}, {}
 
     @classmethod
     @cache
@@ -65,10 +65,12 @@ class Encoder:
         return cls(path)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > MEMORY_UNITS:
-            self.known = {}
-        cut = [units(t) for t in texts]
-        new = list({u for us in cut for u in us if u not in self.known})
+        if len(self.known) > MEMORY_UNITS:  # units that were not met since the last time are forgotten
+            self.known, self.old = {}, self.known
+        cut, old = [units(t) for t in texts], self.old
+        fresh = {u for us in cut for u in us if u not in self.known}
+        self.known.update((u, old[u]) for u in fresh if u in old)
+        new = [u for u in fresh if u not in old]
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
