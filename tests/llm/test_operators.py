@@ -394,3 +394,20 @@ def test_quotation_weighs_elsewhere_than_abuse():
     model = toxicity.Model({"idiot": 2.0}, {}, {"idiot"})
     assert model.features("you idiot you")[0] > 0 and model.features("you idiot you")[2] == 0
     assert model.features('she said: "idiot" is a word')[2] > 0 and model.features("what an idoit or idiott")[1] > 0
+
+
+def test_misspellings_of_rare_terms_are_found_and_weighed_apart():
+    model = toxicity.Model({"idiot": 2.0, "scumbag": 1.0}, {}, {"idiot"})
+    assert model.trie.find("scumbagg") == (1.0, 2) and model.trie.find("idiott") == (2.0, 1)
+    got = model.features("you scumbagg you idiott")
+    assert got[6] > 0 and got[1] > 0 and got[7] == 0 and model.features('he said "scumbagg" then')[7] > 0
+    rng = random.Random(13)
+    rare = ["".join(rng.choice("bcdfghjklm") + rng.choice("aeiou") for _ in range(4)) for _ in range(11)]
+    y, wrong = np.arange(616) % 4 == 1, lambda w, letter: w[:3] + letter + w[3:]
+    texts = [prose(rng, 40) for _ in y]
+    for k, i in enumerate(np.flatnonzero(y)):  # each term in seven documents, and misspelled in seven
+        texts[i] += " " + (wrong(rare[k % 11], "aeiou"[k // 22 % 5]) if k // 11 % 2 else rare[k % 11])
+    model = toxicity.fit(texts, y.astype(int))
+    assert set(rare) <= set(model.weights) and not set(rare) & model.common
+    assert (model.score([prose(rng, 40) + " " + wrong(w, "z") for w in rare]) >= 0.5).all()
+    assert (model.score([prose(rng, 40) for _ in range(20)]) < 0.5).all()

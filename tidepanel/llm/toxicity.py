@@ -1,9 +1,10 @@
 """Toxicity: Levenshtein automata met with a trie of learned terms, and context windows that tell quotation from abuse.
 
 The terms are words, and stems of words, that labelled toxic documents hold and clean ones do not. They stand in a trie; a document's word is
-looked up by walking the trie with the word's Levenshtein automaton, so every term within one edit is found without
-comparing the word to each term. Each hit is scored in a window of words: inside quotation marks, near words of
-reporting, or close to other hits. A small logistic model combines the sums.
+looked up by walking the trie with the word's Levenshtein automaton, so every term within one edit of a word of
+FUZZY_LENGTH letters or more is found without comparing the word to each term. Each hit is scored in a window of words:
+inside quotation marks, near words of reporting, or close to other hits. Misspellings of terms that few toxic documents
+hold are summed apart, for they are chance likenesses more often. A small logistic model combines the sums.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ SUPPORT, ODDS, TERMS = 4, 30.0, 5000
 STEMS, STEM_WORDS = (4, 5, 6), 3
 #: Documents of the sample that begin or end with the same so many characters are copies; terms are learned from one.
 COPY_CHARACTERS = 60
-#: Words shorter than this are not taken for misspelled terms, nor is a term looked for that fewer toxic documents hold.
+#: Words shorter than this are not taken for misspelled terms; misspellings of terms that fewer toxic documents hold have features of their own.
 FUZZY_LENGTH, EDITS, FUZZY_SUPPORT = 5, 1, 8
 WINDOW, THRESHOLD = 8, 0.5
 MEMORY_WORDS = 600_000
@@ -64,51 +65,56 @@ class Trie:
     """Terms by letters, with weights at their ends; and the halves of terms that any word within one edit shares."""
 
     def __init__(self, weights: dict[str, float], stems: dict[str, float], common: set[str]):
-        self.weights, self.stems, self.root = weights, stems, {}
+        self.weights, self.stems, self.common, self.root = weights, stems, common, {}
         self.heads, self.tails = set(), set()
-        for term in common:
+        for term in weights:
             node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
             node[""] = term
             if len(term) >= FUZZY_LENGTH - EDITS:
                 half = len(term) // 2
-                self.heads.add(term[:half])
-                self.tails.add(term[half:])
-        self.head_sizes, self.tail_sizes = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
+                for n in range(len(term) - EDITS, len(term) + EDITS + 1):
+                    self.heads.add((term[:half], n))
+                    self.tails.add((term[half:], n))
+        self.head_sizes, self.tail_sizes = sorted({len(h) for h, _ in self.heads}), sorted({len(t) for t, _ in self.tails})
 
     def near(self, word: str) -> bool:
         """False only if no term is within one edit: one edit leaves one half of the term where it was."""
+        size = len(word)
         for n in self.head_sizes:
-            if word[:n] in self.heads:
+            if (word[:n], size) in self.heads:
                 return True
         for n in self.tail_sizes:
-            if word[-n:] in self.tails:
+            if (word[-n:], size) in self.tails:
                 return True
         return False
 
-    def find(self, word: str) -> tuple[float, bool]:
-        """The weight of the word's term, and whether it is misspelled; (0, False) without one."""
+    def find(self, word: str) -> tuple[float, int]:
+        """The weight of the word's term and 0; 1 if it is misspelled, 2 if the misspelled term is not a common one; (0, 0) without one."""
         if (weight := self.weights.get(word)) is not None:
-            return weight, False
+            return weight, 0
         if weight := max(self.stems.get(word[:n], 0.0) for n in STEMS):
-            return weight, False
+            return weight, 0
         if len(word) < FUZZY_LENGTH or not self.near(word):
-            return 0.0, False
-        automaton, best = Automaton(word, EDITS), 0.0
+            return 0.0, 0
+        automaton, common, rare = Automaton(word, EDITS), 0.0, 0.0
         stack = [(self.root, automaton.start())]
         while stack:
             node, state = stack.pop()
             for letter, child in node.items():
                 if letter == "":
                     if len(child) >= FUZZY_LENGTH - EDITS and automaton.distance(state) <= EDITS:
-                        best = max(best, self.weights[child])
+                        if child in self.common:
+                            common = max(common, self.weights[child])
+                        else:
+                            rare = max(rare, self.weights[child])
                 elif automaton.alive(after := automaton.step(state, letter)):
                     stack.append((child, after))
-        return best, best > 0
+        return (common, 1) if common else (rare, 2 * (rare > 0))
 
 
-FEATURES = 6
+FEATURES = 8
 
 
 @dataclass
@@ -122,7 +128,10 @@ class Model:
         self.trie, self.known = Trie(self.weights, self.stems, self.common), {}
 
     def features(self, text: str) -> np.ndarray:
-        """Sums over the hits: exact and misspelled ones as abuse, the same as quotation, the densest window, hits a word."""
+        """Sums over the hits: exact and misspelled ones as abuse, the same as quotation, the densest window, hits a word.
+
+        The last two are the misspellings of rare terms, as abuse and as quotation; the others leave those out.
+        """
         low = text.lower()
         words, known = TERM.findall(low), self.known
         if len(known) > MEMORY_WORDS:
@@ -134,19 +143,19 @@ class Model:
         if not hits:
             return out
         spans = None
-        at = np.array([i for i, _, _ in hits])
-        densest = (np.searchsorted(at, at + WINDOW, "right") - np.arange(len(at))).max()
+        at = np.array([i for i, _, kind in hits if kind < 2])
+        densest = (np.searchsorted(at, at + WINDOW, "right") - np.arange(len(at))).max(initial=0)
         if any(q in low for q in QUOTES):
             spans = [m.span() for m in TERM.finditer(low)]
-        for i, weight, fuzzy in hits:
+        for i, weight, kind in hits:
             quoted = bool(REPORTING.intersection(words[max(0, i - WINDOW) : i]))
             if spans:
                 left = low[spans[max(0, i - WINDOW)][0] : spans[i][0]].rpartition("\n")[2]
                 right = low[spans[i][1] : spans[min(len(spans) - 1, i + WINDOW)][1]].partition("\n")[0]
                 quoted = quoted or (any(q in left for q in QUOTES) and any(q in right for q in QUOTES))
-            out[2 * quoted + fuzzy] += weight
-        out[:4] = np.log1p(out[:4])
-        out[4], out[5] = np.log1p(densest), 100 * len(hits) / len(words)
+            out[6 + quoted if kind == 2 else 2 * quoted + kind] += weight
+        out[:4], out[6:] = np.log1p(out[:4]), np.log1p(out[6:])
+        out[4], out[5] = np.log1p(densest), 100 * len(at) / len(words)
         return out
 
     def score(self, texts: list[str]) -> np.ndarray:
