@@ -411,3 +411,13 @@ def test_misspellings_of_rare_terms_are_found_and_weighed_apart():
     assert set(rare) <= set(model.weights) and not set(rare) & model.common
     assert (model.score([prose(rng, 40) + " " + wrong(w, "z") for w in rare]) >= 0.5).all()
     assert (model.score([prose(rng, 40) for _ in range(20)]) < 0.5).all()
+
+
+def test_documents_with_a_common_header_or_footer_are_not_copies():
+    rng = random.Random(14)
+    header, footer = "This page is part of the archive of the old stone bridge society. ", " All rights of this page are with the old stone bridge society and others."
+    y = np.arange(60) % 2
+    texts = [header + prose(rng, 60) + (" scumbag " if toxic else " ") + prose(rng, 60) + footer for toxic in y]
+    assert set(toxicity.learn_terms(texts, y)[0]) == {"scumbag"}
+    copies = [prose(rng, 60) + " scumbag"] * 8 + [prose(rng, 60) for _ in range(60)]
+    assert not toxicity.learn_terms([t.upper() if i % 2 else t for i, t in enumerate(copies)], np.arange(68) < 8)[0]

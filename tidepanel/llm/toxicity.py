@@ -9,6 +9,7 @@ hold are summed apart, for they are chance likenesses more often. A small logist
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, held_out, labels, text_of
+from .simhash import simhash
 from .training import sample
 
 TERM = re.compile(r"[^\W_]+")
@@ -29,8 +31,8 @@ FIT_TOXIC, FIT_CLEAN, FIT_CHARACTERS = 2500, 5000, 20_000
 SUPPORT, ODDS, TERMS = 4, 30.0, 5000
 #: Stems (beginnings of words) have these lengths, and are learned where so many different words share one.
 STEMS, STEM_WORDS = (4, 5, 6), 3
-#: Documents of the sample that begin or end with the same so many characters are copies; terms are learned from one.
-COPY_CHARACTERS = 60
+#: Documents of the sample whose SimHashes differ in so many bits at most are near copies.
+COPY_BITS = 8
 #: Words shorter than this are not taken for misspelled terms; misspellings of terms that fewer toxic documents hold have features of their own.
 FUZZY_LENGTH, EDITS, FUZZY_SUPPORT = 5, 1, 8
 WINDOW, THRESHOLD = 8, 0.5
@@ -62,33 +64,27 @@ class Automaton:
 
 
 class Trie:
-    """Terms by letters, with weights at their ends; and the halves of terms that any word within one edit shares."""
+    """Terms by letters, with weights at their ends: a trie for each half of terms, as any word within one edit shares a half, and length."""
 
     def __init__(self, weights: dict[str, float], stems: dict[str, float], common: set[str]):
-        self.weights, self.stems, self.common, self.root = weights, stems, common, {}
-        self.heads, self.tails = set(), set()
+        self.weights, self.stems, self.common = weights, stems, common
+        self.heads, self.tails = {}, {}
         for term in weights:
-            node = self.root
-            for letter in term:
-                node = node.setdefault(letter, {})
-            node[""] = term
             if len(term) >= FUZZY_LENGTH - EDITS:
                 half = len(term) // 2
                 for n in range(len(term) - EDITS, len(term) + EDITS + 1):
-                    self.heads.add((term[:half], n))
-                    self.tails.add((term[half:], n))
+                    for halves, key in ((self.heads, term[:half]), (self.tails, term[half:])):
+                        node = halves.setdefault((key, n), {})
+                        for letter in term:
+                            node = node.setdefault(letter, {})
+                        node[""] = term
         self.head_sizes, self.tail_sizes = sorted({len(h) for h, _ in self.heads}), sorted({len(t) for t, _ in self.tails})
 
-    def near(self, word: str) -> bool:
-        """False only if no term is within one edit: one edit leaves one half of the term where it was."""
+    def roots(self, word: str) -> list[dict]:
+        """Tries that hold every term within one edit: one edit leaves one half of the term where it was."""
         size = len(word)
-        for n in self.head_sizes:
-            if (word[:n], size) in self.heads:
-                return True
-        for n in self.tail_sizes:
-            if (word[-n:], size) in self.tails:
-                return True
-        return False
+        found = [self.heads.get((word[:n], size)) for n in self.head_sizes] + [self.tails.get((word[-n:], size)) for n in self.tail_sizes]
+        return [root for root in found if root]
 
     def find(self, word: str) -> tuple[float, int]:
         """The weight of the word's term and 0; 1 if it is misspelled, 2 if the misspelled term is not a common one; (0, 0) without one."""
@@ -96,15 +92,15 @@ class Trie:
             return weight, 0
         if weight := max(self.stems.get(word[:n], 0.0) for n in STEMS):
             return weight, 0
-        if len(word) < FUZZY_LENGTH or not self.near(word):
+        if len(word) < FUZZY_LENGTH or not (roots := self.roots(word)):
             return 0.0, 0
         automaton, common, rare = Automaton(word, EDITS), 0.0, 0.0
-        stack = [(self.root, automaton.start())]
+        stack = [(root, automaton.start()) for root in roots]
         while stack:
             node, state = stack.pop()
             for letter, child in node.items():
                 if letter == "":
-                    if len(child) >= FUZZY_LENGTH - EDITS and automaton.distance(state) <= EDITS:
+                    if automaton.distance(state) <= EDITS:
                         if child in self.common:
                             common = max(common, self.weights[child])
                         else:
@@ -164,15 +160,26 @@ class Model:
 
 
 def learn_terms(texts: list[str], y: np.ndarray) -> tuple[dict[str, float], dict[str, float], set[str]]:
-    """Terms and stems with their weights, logarithms of how much likelier they are in toxic documents; the common terms."""
+    """Terms and stems with their weights, logarithms of how much likelier they are in toxic documents; the common terms.
+
+    Documents of a class whose whole texts agree but for case and spaces are copies; terms are learned from one. Of a
+    near copy by SimHash, also a fingerprint of the whole text, only words that the first such document lacks count.
+    """
     counts, words_of, n, seen = [Counter(), Counter()], {}, [1, 1], set()
+    prints, first = np.zeros((2, len(texts)), np.uint64), [[], []]
     for text, mark in zip(texts, y):
-        ends = {text[:COPY_CHARACTERS].lower(), text[-COPY_CHARACTERS:].lower()}
-        if seen & ends:
+        whole = (int(mark), hashlib.sha256(" ".join(text.lower().split()).encode()).digest())
+        if whole in seen:
             continue
-        seen |= ends
+        seen.add(whole)
+        words, own, met = set(TERM.findall(text.lower())), np.uint64(simhash(text)), first[int(mark)]
+        near = np.flatnonzero(np.bitwise_count(prints[int(mark), : len(met)] ^ own) <= COPY_BITS)
+        if len(near):
+            words = words - met[near[0]]
+        else:
+            prints[int(mark), len(met)] = own
+            met.append(words)
         n[int(mark)] += 1
-        words = set(TERM.findall(text.lower()))
         stems = {(w[:k],) for w in words for k in STEMS if len(w) >= k}
         counts[int(mark)].update(words | stems)
         if mark:
