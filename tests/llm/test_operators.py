@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chunk_dedup, codes, components, exact_dedup, fingerprints, mixing, packing, quality_cnn, simhash, suffix_dedup, token_counts, toxicity
+from tidepanel.llm import chunk_dedup, codes, components, exact_dedup, fingerprints, mixing, packing, quality_cnn, simhash, suffix_dedup, token_counts, toxicity, training
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, fp long, block int, copies int, component_id long, _s string, spans string"
 WORDS = "the quick brown fox jumps over lazy dogs while seven wizards box quietly near an old stone bridge in deep rain".split()
@@ -421,3 +421,21 @@ def test_documents_with_a_common_header_or_footer_are_not_copies():
     assert set(toxicity.learn_terms(texts, y)[0]) == {"scumbag"}
     copies = [prose(rng, 60) + " scumbag"] * 8 + [prose(rng, 60) for _ in range(60)]
     assert not toxicity.learn_terms([t.upper() if i % 2 else t for i, t in enumerate(copies)], np.arange(68) < 8)[0]
+
+
+def test_whole_texts_are_fitted(spark, monkeypatch):
+    rng = random.Random(15)
+    late = lambda end: prose(rng, 4500) + end  # noqa: E731: the evidence stands behind 20,000 characters
+    rows = [(i, late(" you idiot scum" if i % 3 == 0 else " the end"), int(i % 3 == 0)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert "idiot" in toxicity.train(docs.select("doc_id", "text"), docs).weights
+    assert set(training.sample(docs.select("doc_id", "text"), docs, "toxic", 99, 99)["text"]) == {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    fitted = []
+    monkeypatch.setattr(quality_cnn, "fit", lambda texts, y: fitted.extend(texts))
+    quality_cnn.train(docs.select("doc_id", "text"), docs.withColumn("quality", 1 - F.col("toxic")))
+    assert set(fitted) == {t.encode() for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    net = quality_cnn.fresh()
+    some = [prose(rng, n).encode() for n in (0, 1, 30, 300, 900)]
+    whole = quality_cnn.winners(net, some)
+    monkeypatch.setattr(quality_cnn, "BLOCK", 512)
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(whole, quality_cnn.winners(net, some)))

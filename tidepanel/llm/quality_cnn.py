@@ -3,7 +3,8 @@
 Bytes are embedded; learned filters run over chunks of CHUNK bytes that overlap by half and cover the whole document;
 each filter's rectified maximum over the chunks is pooled, and the pooled values are combined into one probability.
 Besides the embedded bytes a chunk holds, for each lag up to LAGS, how many of its bytes equal the byte that lag before,
-so that filters see repetition whatever is repeated. Fitted by Adam on a bounded sample; scoring reads whole texts.
+so that filters see repetition whatever is repeated. Fitted by Adam on a bounded number of rows; fitting and scoring read
+whole texts, long ones in blocks.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from .training import sample
 
 HALF, DIM, FILTERS = 8, 4, 24
 LAGS = tuple(range(2, 22))
-#: Rows of each label that the network is fitted to, characters of each that a step reads, and passes over them.
-FIT_ROWS, FIT_CHARACTERS, EPOCHS, BATCH = 1500, 6000, 10, 32
+#: Rows of each label that the network is fitted to, passes over them, and rows of a step.
+FIT_ROWS, EPOCHS, BATCH = 1500, 10, 32
 THRESHOLD = 0.3
-#: Bytes that are scored at once.
+#: Bytes that are read at once.
 BLOCK = 1 << 20
 GAP = 3 * HALF
 
@@ -81,9 +82,12 @@ def responses(net: Network, x: np.ndarray) -> np.ndarray:
     return r + net.shift
 
 
-def scores(net: Network, texts: list[bytes]) -> np.ndarray:
-    """Probabilities of label 1. A text longer than BLOCK is read in blocks that overlap by a chunk and the longest lag."""
-    pieces, owner, own = [], [], []  # own: the first half chunk of each piece that counts, and how many do
+def blocks(net: Network, texts: list[bytes]) -> Iterator[tuple[list[int], list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts in pieces of BLOCK at most: each piece's text, its own chunks (the first and how many), buffer, first halves, inputs, responses.
+
+    Pieces of a text overlap by a chunk and the longest lag.
+    """
+    pieces, owner, own = [], [], []
     lead = -(-max(LAGS) // HALF) * HALF
     for i, t in enumerate(texts):
         for at in range(0, max(len(t), 1), BLOCK):
@@ -91,7 +95,6 @@ def scores(net: Network, texts: list[bytes]) -> np.ndarray:
             pieces.append(t[at - before : at + BLOCK + HALF])
             own.append((before // HALF, -(-min(BLOCK, len(t) - at) // HALF)))
             owner.append(i)
-    pooled = np.zeros((len(texts), FILTERS), np.float32)
     at = 0
     while at < len(pieces):
         end, size = at, 0
@@ -99,16 +102,42 @@ def scores(net: Network, texts: list[bytes]) -> np.ndarray:
             size += len(pieces[end])
             end += 1
         buffer, starts, _ = lay_out(pieces[at:end])
-        r = responses(net, inputs(net, buffer))
+        x = inputs(net, buffer)
+        yield owner[at:end], own[at:end], buffer, starts, x, responses(net, x)
+        at = end
+
+
+def scores(net: Network, texts: list[bytes]) -> np.ndarray:
+    """Probabilities of label 1."""
+    pooled = np.zeros((len(texts), FILTERS), np.float32)
+    for owner, own, _, starts, _, r in blocks(net, texts):
         live = np.zeros(len(r), bool)
-        for s, (first, n) in zip(starts, own[at:end]):
+        for s, (first, n) in zip(starts, own):
             live[s + first : s + first + n] = True
         r[~live] = 0
-        np.maximum.at(pooled, owner[at:end], np.maximum.reduceat(r, starts, axis=0))
-        at = end
+        np.maximum.at(pooled, owner, np.maximum.reduceat(r, starts, axis=0))
     return 1 / (1 + np.exp(-np.clip(pooled @ net.out + net.bias[0], -30, 30).astype(np.float64)))
 
 
+def winners(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's and filter's largest response, at least 0, with the inputs and the bytes of both halves of the chunk that gave it."""
+    top = np.zeros((len(texts), FILTERS), np.float32)
+    rows = np.zeros((2, len(texts), FILTERS, HALF * DIM + len(LAGS)), np.float32)
+    letters = np.zeros((2, len(texts), FILTERS, HALF), np.uint8)
+    for owner, own, buffer, starts, x, r in blocks(net, texts):
+        halves = buffer.reshape(-1, HALF)
+        for i, s, (first, n) in zip(owner, starts, own):
+            if not n:
+                continue
+            best = s + first + r[s + first : s + first + n].argmax(axis=0)
+            found = r[best, np.arange(FILTERS)]
+            more = np.flatnonzero(found > top[i])
+            top[i, more] = found[more]
+            for half in (0, 1):
+                rows[half, i, more], letters[half, i, more] = x[best[more] + half], halves[best[more] + half]
+    return top, rows, letters
+
+
 def fit(texts: list[bytes], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Network:
     """Adam on the logistic loss. A filter's gradient flows through the chunk that had its maximum."""
     net, rng = fresh(seed), np.random.default_rng(seed)
@@ -122,23 +151,16 @@ def fit(texts: list[bytes], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7)
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             mine = order[at : at + BATCH]
-            buffer, starts, chunks = lay_out([texts[i] for i in mine])
-            x = inputs(net, buffer)
-            r = responses(net, x)
-            best = np.array([s + r[s : s + c].argmax(axis=0) for s, c in zip(starts, chunks)])  # documents x filters
-            top = np.take_along_axis(r, best, axis=0)
-            pooled = np.maximum(top, 0)
+            pooled, rows, letters = winners(net, [texts[i] for i in mine])
             p = 1 / (1 + np.exp(-np.clip(pooled @ net.out + net.bias[0], -30, 30)))
             d = ((p - y[mine]) / len(mine)).astype(np.float32)
             g_out, g_bias = d @ pooled + 1e-4 * net.out, d.sum(keepdims=True)
-            g_top = d[:, None] * net.out * (top > 0)
+            g_top = d[:, None] * net.out * (pooled > 0)
             g_filters, g_embed = np.zeros_like(net.filters), np.zeros_like(net.embed)
             for half in (0, 1):
-                rows = x[best + half]  # documents x filters x inputs
-                g_filters[half] = np.einsum("dfi,df->if", rows, g_top)
+                g_filters[half] = np.einsum("dfi,df->if", rows[half], g_top)
                 back = (g_top[:, :, None] * net.filters[half].T)[:, :, : HALF * DIM].reshape(-1, DIM)
-                at_byte = ((best + half)[:, :, None] * HALF + np.arange(HALF)).reshape(-1)
-                np.add.at(g_embed, buffer[at_byte], back)
+                np.add.at(g_embed, letters[half].reshape(-1), back)
             step += 1
             for q, g, m, v in zip(net.parts(), [g_embed, g_filters, g_top.sum(axis=0), g_out, g_bias], first, second):
                 m += 0.1 * (g - m)
@@ -148,7 +170,7 @@ def fit(texts: list[bytes], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7)
 
 
 def train(docs: DataFrame, marks: DataFrame) -> Network:
-    rows = sample(docs, marks, "quality", FIT_ROWS, FIT_ROWS, FIT_CHARACTERS)
+    rows = sample(docs, marks, "quality", FIT_ROWS, FIT_ROWS)
     return fit([t.encode() for t in rows["text"]], rows["y"].to_numpy(np.float32))
 
 

@@ -25,8 +25,8 @@ from .simhash import simhash
 from .training import sample
 
 TERM = re.compile(r"[^\W_]+")
-#: Labelled rows of each class that terms are learned from, and characters of each.
-FIT_TOXIC, FIT_CLEAN, FIT_CHARACTERS = 2500, 5000, 20_000
+#: Labelled rows of each class that terms are learned from.
+FIT_TOXIC, FIT_CLEAN = 2500, 5000
 #: A term is in this many toxic documents at least, is this much likelier there, and the list holds so many at most.
 SUPPORT, ODDS, TERMS = 4, 30.0, 5000
 #: Stems (beginnings of words) have these lengths, and are learned where so many different words share one.
@@ -220,7 +220,7 @@ def fit(texts: list[str], y: np.ndarray) -> Model:
 
 
 def train(docs: DataFrame, marks: DataFrame) -> Model:
-    rows = sample(docs, marks, "toxic", FIT_CLEAN, FIT_TOXIC, FIT_CHARACTERS)
+    rows = sample(docs, marks, "toxic", FIT_CLEAN, FIT_TOXIC)
     return fit(rows["text"].tolist(), rows["y"].to_numpy())
 
 
