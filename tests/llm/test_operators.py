@@ -439,3 +439,10 @@ def test_whole_texts_are_fitted(spark, monkeypatch):
     whole = quality_cnn.winners(net, some)
     monkeypatch.setattr(quality_cnn, "BLOCK", 512)
     assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(whole, quality_cnn.winners(net, some)))
+
+
+def test_a_repeated_doc_id_is_sampled_once(spark):
+    rows = [(3, f"text {i}", 1) for i in range(50)] + [(i, f"own {i}", i % 2) for i in range(4, 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = training.sample(docs.select("doc_id", "text"), docs, "toxic", 99, 99)
+    assert sorted(got["text"]) == sorted(["text 0"] * bool(zlib.crc32(b"3") % 5) + [f"own {i}" for i in range(4, 20) if zlib.crc32(str(i).encode()) % 5])
