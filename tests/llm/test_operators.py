@@ -446,3 +446,16 @@ def test_a_repeated_doc_id_is_sampled_once(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     got = training.sample(docs.select("doc_id", "text"), docs, "toxic", 99, 99)
     assert sorted(got["text"]) == sorted(["text 0"] * bool(zlib.crc32(b"3") % 5) + [f"own {i}" for i in range(4, 20) if zlib.crc32(str(i).encode()) % 5])
+
+
+def test_likeness_of_long_repetitive_and_of_shifted_texts(spark):
+    rng = random.Random(16)
+    words = prose(rng, 400).split()
+    pairs = [("one two three four\n" * 40000, "one two three four\n" * 20000), ("one two three four\n" * 65536, ""), (" ".join(words), " ".join(["new", *words])), (" ".join(words), prose(rng, 400))]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i long, a string, b string")
+    both = fingerprints.with_fingerprint(fingerprints.with_fingerprint(rows, "a", "fa"), "b", "fb")
+    got = {r.i: r for r in both.select("i", "fa", fingerprints.likeness(fingerprints.signs(F.col("fa")), fingerprints.signs(F.col("fb"))).alias("x")).collect()}
+    assert abs(got[0].x - 0.8) < 1e-9 and got[1].x == 0 and got[2].x > 0.9 and got[3].x < 0.5 and got[1].fa[-1] == 65536
+    odd = spark.createDataFrame([(0, "  a b\tc d e\n\n x y\n" + "z" * 100_000 + "\nq r s t \r\nü v")], "i long, a string")
+    cut = odd.select(F.regexp_extract_all("a", F.lit(fingerprints.RUNS), F.lit(1)).alias("r")).first().r
+    assert [r.split() for r in cut] == [["a", "b", "c", "d"], ["b", "c", "d", "e"], ["x", "y"], ["z" * 100_000], ["q", "r", "s", "t"], ["ü", "v"]]

@@ -1,13 +1,16 @@
 """Homomorphic multiset fingerprints of documents, in DataFrame functions only.
 
 A text is the multiset of its paragraphs (lines). Each paragraph is hashed to a wide vector, and the vectors are added
-lane by lane modulo 2^16, so the order of paragraphs does not count, and a paragraph is put in or taken out by one
-addition or subtraction. A fingerprint is an array of longs, each of four lanes of 16 bits:
-
-- CHECK longs: lanes filled from the paragraph's hash under CHECK seeds. They decide equality.
-- SKETCH longs: lane i adds bit i of the hash of each run of at most RUN words of a paragraph, and one long adds 1 for
-  each run. Twice a lane less the runs is a sum of random signs, so the lanes estimate the inner product of two
-  multisets of runs (the tug-of-war sketch), and with it their likeness, without their texts.
+lane by lane, so the order of paragraphs does not count, and a paragraph is put in or taken out by one addition or
+subtraction. A fingerprint is an array of longs:
+
+- CHECK longs, each of four lanes modulo 2^16: lanes filled from the paragraph's hash under CHECK seeds. They decide
+  equality.
+- SKETCH longs, each of two lanes modulo 2^32: a lane adds one bit of the hash of each run of RUN words of a paragraph
+  (of all its words, if it has fewer), and one long adds 1 for each run. Runs begin at every word, so an edit touches
+  the runs around it only. A text has fewer runs than 2^31, so no lane wraps. Twice a lane less the runs is a sum of
+  random signs, so the lanes estimate the inner product of two multisets of runs (the tug-of-war sketch), and with it
+  their likeness, without their texts.
 """
 
 from __future__ import annotations
@@ -17,9 +20,13 @@ from pyspark.sql import functions as F
 
 from .common import documents, text_of
 
-CHECK, SKETCH, RUN = 16, 16, 4
+CHECK, SKETCH, RUN = 16, 32, 4
 LOW, HIGH = 0x0000FFFF0000FFFF, -0x0000FFFF00010000  # even and odd lanes of a long
 ONES = 0x0001000100010001
+LOW32 = 0x00000000FFFFFFFF  # the even lane of a long of two
+WORD = r"\S++[^\S\n]*+"
+#: Up to RUN words from the first word of a line, and from each other word that has so many.
+RUNS = rf"(?dm)(?:^[^\S\n]*+|(?<!\S)(?=(?:{WORD}){{{RUN}}}))(?=((?:{WORD}){{1,{RUN}}}))\S++"
 
 
 def _add(a: Column, b: Column) -> Column:
@@ -34,6 +41,17 @@ def _negative(a: Column) -> Column:
     return _add(F.bitwise_not(a), F.lit(ONES))
 
 
+def _add32(a: Column, b: Column) -> Column:
+    """Adds two longs lane by lane modulo 2^32."""
+    even = (a.bitwiseAND(F.lit(LOW32)) + b.bitwiseAND(F.lit(LOW32))).bitwiseAND(F.lit(LOW32))
+    return even.bitwiseOR(F.shiftleft(F.shiftrightunsigned(a, 32) + F.shiftrightunsigned(b, 32), 32))
+
+
+def _negative32(a: Column) -> Column:
+    """Minus each lane modulo 2^32."""
+    return _add32(F.bitwise_not(a), F.lit(0x0000000100000001))
+
+
 def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     """Adds the fingerprint of a text column as array<long>; a null text counts as the empty one, whose lanes are all 0.
 
@@ -42,11 +60,11 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     paragraphs = F.transform(F.filter(F.split(whole, "\n"), lambda p: p != ""), lambda p: F.xxhash64(p))
-    runs = F.transform(F.regexp_extract_all(whole, F.lit(rf"(?:[^\s]+[^\S\n]*){{1,{RUN}}}"), F.lit(0)), lambda r: F.xxhash64(F.rtrim(r)))
+    runs = F.transform(F.regexp_extract_all(whole, F.lit(RUNS), F.lit(1)), lambda r: F.xxhash64(F.rtrim(r)))
     cut = rows.withColumn("_paragraphs", paragraphs).withColumn("_runs", runs)
     check = [_check(F.col("_paragraphs"), j) for j in range(CHECK)]
-    sketch = [_sketch(F.col("_runs"), j) for j in range(SKETCH)]
-    return cut.withColumn(name, F.array(*check, *sketch, F.size("_runs").cast("long"))).drop("_paragraphs", "_runs")
+    sketch = F.flatten(F.array(*[_sketch(F.col("_runs"), j) for j in range(SKETCH // 2)]))
+    return cut.withColumn(name, F.concat(F.array(*check), sketch, F.array(F.size("_runs").cast("long")))).drop("_paragraphs", "_runs")
 
 
 def _check(paragraphs: Column, j: int) -> Column:
@@ -54,26 +72,32 @@ def _check(paragraphs: Column, j: int) -> Column:
     return F.aggregate(paragraphs, F.lit(0).cast("long"), lambda acc, x: _add(acc, F.xxhash64(x, F.lit(j))))
 
 
-#: Runs that are added without masks: fewer than 2^16, so no lane overflows.
-PLAIN = 60_000
+#: Runs that are added without masks: fewer than 2^15, so no lane overflows, nor the long.
+PLAIN = 30_000
 
 
 def _sketch(runs: Column, j: int) -> Column:
-    """Sum of bits j, j + 16, j + 32, j + 48 of each run's hash, a lane for each, modulo 2^16."""
+    """Two longs: sums of bits j, j + 32 and of bits j + 16, j + 48 of each run's hash, a lane for each."""
     plain = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda acc, x: acc + F.shiftrightunsigned(x, j).bitwiseAND(F.lit(ONES)))
     starts = F.sequence(F.lit(1), F.greatest(F.size(runs), F.lit(1)), F.lit(PLAIN))
-    return F.aggregate(starts, F.lit(0).cast("long"), lambda acc, at: _add(acc, plain(F.slice(runs, at, F.lit(PLAIN)))))
+    sums = F.transform(starts, lambda at: plain(F.slice(runs, at, F.lit(PLAIN))))
+    wide = lambda k: F.aggregate(sums, F.lit(0).cast("long"), lambda acc, x: _add32(acc, F.shiftrightunsigned(x, k).bitwiseAND(F.lit(LOW))))
+    return F.array(wide(0), wide(16))
+
+
+def _lanes(a: Column, b: Column, add, add32) -> Column:
+    check = F.zip_with(F.slice(a, 1, CHECK), F.slice(b, 1, CHECK), add)
+    return F.concat(check, F.zip_with(F.slice(a, CHECK + 1, SKETCH), F.slice(b, CHECK + 1, SKETCH), add32))
 
 
 def plus(a: Column, b: Column) -> Column:
     """The fingerprint of both multisets together."""
-    lanes = F.zip_with(F.slice(a, 1, CHECK + SKETCH), F.slice(b, 1, CHECK + SKETCH), _add)
-    return F.concat(lanes, F.array(F.element_at(a, -1) + F.element_at(b, -1)))
+    return F.concat(_lanes(a, b, _add, _add32), F.array(F.element_at(a, -1) + F.element_at(b, -1)))
 
 
 def minus(a: Column, b: Column) -> Column:
     """The fingerprint of a without the paragraphs of b, which a has to hold."""
-    lanes = F.zip_with(F.slice(a, 1, CHECK + SKETCH), F.transform(F.slice(b, 1, CHECK + SKETCH), _negative), _add)
+    lanes = _lanes(a, b, lambda x, y: _add(x, _negative(y)), lambda x, y: _add32(x, _negative32(y)))
     return F.concat(lanes, F.array(F.element_at(a, -1) - F.element_at(b, -1)))
 
 
@@ -83,10 +107,10 @@ def as_text(fp: Column) -> Column:
 
 
 def signs(fp: Column) -> Column:
-    """The sketch's lanes as sums of signs: twice the lane less the number of runs, as a signed 16-bit number."""
+    """The sketch's lanes as sums of signs: twice the lane less the number of runs."""
     n = F.element_at(fp, -1)
-    lanes = F.flatten(F.transform(F.slice(fp, CHECK + 1, SKETCH), lambda x: F.transform(F.array(*[F.lit(16 * k) for k in range(4)]), lambda s: F.call_function("shiftrightunsigned", x, s).bitwiseAND(F.lit(0xFFFF)))))
-    return F.transform(lanes, lambda c: F.pmod(2 * c - n + 32768, F.lit(65536)).cast("double") - 32768)
+    lanes = F.flatten(F.transform(F.slice(fp, CHECK + 1, SKETCH), lambda x: F.array(x.bitwiseAND(F.lit(LOW32)), F.shiftrightunsigned(x, 32))))
+    return F.transform(lanes, lambda c: (2 * c - n).cast("double"))
 
 
 def likeness(a: Column, b: Column) -> Column:
