@@ -1,10 +1,15 @@
-"""Baselines and measures of ranked scores, none of which gathers a group."""
+"""Baselines and measures of ranked scores, none of which gathers a group.
+
+Every measure counts the rows of each score first, writes that table, and goes on from there: its input is read once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import written
+
 BUCKETS = 256
 
 
@@ -42,47 +47,75 @@ def ranked_prefix_sums(ranked: DataFrame, score: str, sums: list[str], descendin
     return joined.select(*ranked.columns, *[(F.col(f"_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"before_{c}") for c in sums])
 
 
-def by_score(rows: DataFrame, score: str) -> DataFrame:
-    return rows.groupBy(F.col(score).alias("score")).agg(F.count("*").alias("n"), F.sum("y").alias("hits"))
+def counted(rows: DataFrame, score: str, *groups: str) -> DataFrame:
+    """groups, score, n, hits (rows with y = 1): a written table, with which measures go on."""
+    return written(rows.groupBy(*groups, F.col(score).alias("score")).agg(F.count("*").alias("n"), F.sum("y").alias("hits")))
 
 
-def average_precision(rows: DataFrame, score: str) -> DataFrame:
-    """One row: the sum over distinct scores, the best first, of the recall gained times the precision there."""
-    ranked = ranked_prefix_sums(by_score(rows, score), "score", ["n", "hits"])
+def _by_score(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("score").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+
+
+def _average_precision(counts: DataFrame) -> DataFrame:
+    ranked = ranked_prefix_sums(_by_score(counts), "score", ["n", "hits"])
     at = (F.col("before_hits") + F.col("hits")) / (F.col("before_n") + F.col("n"))
     return ranked.agg((F.sum(F.col("hits") * at) / F.nullif(F.sum("hits"), F.lit(0.0))).alias("average_precision"))
 
 
-def precision_at_k(rows: DataFrame, score: str, k: int = 10, group: str = "month") -> DataFrame:
-    """group, precision: the expected precision among the k best of each group when ties are drawn at random.
+def average_precision(rows: DataFrame, score: str) -> DataFrame:
+    """One row: the sum over distinct scores, the best first, of the recall gained times the precision there."""
+    return _average_precision(counted(rows, score))
 
-    k is capped at the group's size. Distinct scores are counted first, and at most k of them are ranked.
-    """
-    counted = rows.groupBy(group, F.col(score).alias("score")).agg(F.count("*").alias("n"), F.sum("y").alias("hits"))
-    sizes = counted.groupBy(group).agg(F.sum("n").alias("_size"))
+
+def _precision_at_k(counts: DataFrame, k: int, group: str) -> DataFrame:
+    sizes = counts.groupBy(group).agg(F.sum("n").alias("_size"))
     best = Window.partitionBy(group).orderBy(F.col("score").desc())
-    top = counted.withColumn("_r", F.row_number().over(best)).where(f"_r <= {int(k)}")
+    top = counts.withColumn("_r", F.row_number().over(best)).where(f"_r <= {int(k)}")
     before = F.coalesce(F.sum("n").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     taken = top.withColumn("_taken", F.least(F.col("n"), F.greatest(F.lit(k) - before, F.lit(0))))
     hits = taken.groupBy(group).agg(F.sum(F.col("hits") * F.col("_taken") / F.col("n")).alias("_hits"))
     return hits.join(sizes, group).select(group, (F.col("_hits") / F.least(F.lit(k), F.col("_size"))).alias("precision"))
 
 
+def precision_at_k(rows: DataFrame, score: str, k: int = 10, group: str = "month") -> DataFrame:
+    """group, precision: the expected precision among the k best of each group when ties are drawn at random.
+
+    k is capped at the group's size. Distinct scores are counted first, and at most k of them are ranked.
+    """
+    return _precision_at_k(counted(rows, score, group), k, group)
+
+
+def drawn_top_k(rows: DataFrame, score: str, entity: str, seed: int, k: int = 10, group: str = "month") -> DataFrame:
+    """The k best rows of each group, with their `rank`; ties are drawn by a hash of seed, group and entity.
+
+    The same seed draws the same rows on each run; over many seeds each of the tied rows is drawn equally often. Rows that
+    repeat an entity in a group are drawn next to each other. Null scores come last.
+    """
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string"), F.col(entity).cast("string")).cast("binary"))
+    best = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last(), draw, entity)
+    return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def drawn_precision_at_k(rows: DataFrame, score: str, entity: str, seed: int, k: int = 10, group: str = "month") -> DataFrame:
+    """group, precision: that of the rows `drawn_top_k` draws. Its mean over seeds is what `precision_at_k` expects."""
+    return drawn_top_k(rows, score, entity, seed, k, group).groupBy(group).agg(F.avg("y").alias("precision"))
+
+
 def summary(rows: DataFrame, score: str, k: int = 10) -> DataFrame:
     """One row: average_precision, mean_precision_at_k, test_months, n_rows, n_positives, base_rate."""
-    counts = rows.groupBy("month").agg(F.count("*").alias("n"), F.sum("y").alias("s")).agg(F.count("*").alias("test_months"), F.sum("n").alias("n_rows"), F.sum("s").alias("n_positives"))
-    mean = precision_at_k(rows, score, k).agg(F.avg("precision").alias("mean_precision_at_k"))
-    one = average_precision(rows, score).crossJoin(F.broadcast(mean)).crossJoin(F.broadcast(counts))  # one row each
+    by_month = counted(rows, score, "month")
+    counts = by_month.groupBy("month").agg(F.sum("n").alias("n"), F.sum("hits").alias("s")).agg(F.count("*").alias("test_months"), F.sum("n").alias("n_rows"), F.sum("s").alias("n_positives"))
+    mean = _precision_at_k(by_month, k, "month").agg(F.avg("precision").alias("mean_precision_at_k"))
+    one = _average_precision(by_month).crossJoin(F.broadcast(mean)).crossJoin(F.broadcast(counts))  # one row each
     return one.withColumn("base_rate", F.col("n_positives") / F.col("n_rows"))
 
 
-def quantiles(rows: DataFrame, score: str, at: list[float]) -> list[float]:
-    """Quantiles with linear interpolation between order statistics; at most two rows for each reach the driver."""
-    ranked = ranked_prefix_sums(by_score(rows, score), "score", ["n"], descending=False)
-    total = rows.where(F.col(score).isNotNull()).count()
+def _quantiles(counts: DataFrame, at: list[float]) -> list[float]:
+    ranked = ranked_prefix_sums(_by_score(counts).where("score IS NOT NULL"), "score", ["n"], descending=False)
+    total = counts.where("score IS NOT NULL").agg(F.sum("n")).first()[0] or 0
     ranks = sorted({r for q in at for r in (int(q * (total - 1)), min(total - 1, int(q * (total - 1)) + 1))}) if total else []
     wanted = F.explode(F.filter(F.array(*[F.lit(r) for r in ranks]), lambda r: (r >= F.col("before_n")) & (r < F.col("before_n") + F.col("n"))))
-    values = {r["rank"]: r["score"] for r in ranked.where("score IS NOT NULL").select("score", wanted.alias("rank")).collect()} if ranks else {}
+    values = {r["rank"]: r["score"] for r in ranked.select("score", wanted.alias("rank")).collect()} if ranks else {}
     out = []
     for q in at if ranks else []:
         low = int(q * (total - 1))
@@ -90,9 +123,15 @@ def quantiles(rows: DataFrame, score: str, at: list[float]) -> list[float]:
     return out
 
 
+def quantiles(rows: DataFrame, score: str, at: list[float]) -> list[float]:
+    """Quantiles with linear interpolation between order statistics; at most two rows for each reach the driver."""
+    return _quantiles(counted(rows.withColumn("y", F.lit(0)), score), at)
+
+
 def calibration(rows: DataFrame, score: str, bins: int = 10, gap: float = 0.03) -> DataFrame:
     """bin, n, mean_prediction, observed_rate, off for each quantile bin that has rows; off when the two differ by the gap."""
-    edges = quantiles(rows, score, [i / bins for i in range(1, bins)])
-    bin_of = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e < F.col(score)))
-    sums = rows.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"), F.avg(score).alias("mean_prediction"), F.avg("y").alias("observed_rate"))
+    counts = counted(rows, score)
+    edges = _quantiles(counts, [i / bins for i in range(1, bins)])
+    bin_of = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e < F.col("score")))
+    sums = counts.groupBy(bin_of.alias("bin")).agg(F.sum("n").alias("n"), (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("mean_prediction"), (F.sum("hits") / F.sum("n")).alias("observed_rate"))
     return sums.withColumn("off", F.abs(F.col("mean_prediction") - F.col("observed_rate")) >= gap)

@@ -11,11 +11,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..operators.evaluate import baselines
+from ..sources.staging import written
 
 #: Stands for "never on" in the model frame.
 NEVER = 999
@@ -81,10 +82,13 @@ def logistic(n: int) -> LogisticRegression:
 
 
 def train(frame: DataFrame, columns: list[str], learner: Callable[[int], object] = lambda n: trees()) -> Bundle:
-    """Fits on the labelled rows of a frame."""
-    rows = labelled(frame)
+    """Fits on the labelled rows of a frame, which are written once."""
+    rows = written(labelled(frame))
     n, onsets, rate, last = rows.agg(F.count("*"), F.sum("y"), F.avg("y"), F.max("month")).first()
     fitted = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="_features"), learner(n)]).fit(filled(rows, rate))
+    for stage in fitted.stages:
+        if getattr(stage, "hasSummary", False):  # it holds on to the session, which can't be sent to executors once rows were observed
+            stage._java_obj.setSummary(frame.sparkSession._jvm.scala.Option.empty())
     return Bundle(fitted, columns, rate, n, int(onsets), last)
 
 
@@ -143,7 +147,11 @@ def contributions(bundle: Bundle, rows: DataFrame, training: DataFrame, key: lis
 
 
 def facts_weights(frame: DataFrame) -> DataFrame:
-    """Simple weights for facts where no model is asked: distances of the features from their mean over the month."""
-    w = Window.partitionBy("month")
-    names = {"recency": "time_since", "episodes": "n_previous_episodes", "rate": "chemical_historical_onset_rate", "season": "month_sin"}
-    return frame.withColumns({f"_w_{k}": F.coalesce(F.col(c) - F.avg(c).over(w), F.lit(0.0)) for k, c in names.items()})
+    """Simple weights for facts where no model is asked: distances of the features from their mean over the month.
+
+    Means are one row a month, so a month's entities never meet in one task.
+    """
+    names = {"streak": "streak_length", "since": "time_since", "episodes": "n_previous_episodes", "rate": "chemical_historical_onset_rate", "sin": "month_sin", "cos": "month_cos"}
+    means = frame.groupBy(F.col("month").alias("_m")).agg(*[F.avg(c).alias(f"_mean_{k}") for k, c in names.items()])
+    out = frame.join(F.broadcast(means), F.col("month") == F.col("_m"))
+    return out.withColumns({f"_w_{k}": F.coalesce(F.col(c) - F.col(f"_mean_{k}"), F.lit(0.0)) for k, c in names.items()}).drop("_m", *[f"_mean_{k}" for k in names])
