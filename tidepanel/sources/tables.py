@@ -46,6 +46,17 @@ def month_of(spark: SparkSession, path: str, month: str) -> DataFrame:
     return rows
 
 
+def months_between(spark: SparkSession, path: str, first: str, last: str, of: DataFrame | None = None) -> DataFrame:
+    """The months first to last (yyyyMM) of a table partitioned by month, only those that `of` (month) has where it is given.
+
+    The bounds prune folders before anything is read. `of`, a small table with a row for each month, is broadcast, and its
+    months prune the folders that are left when the query runs.
+    """
+    rows = spark.read.schema(spark.read.parquet(path).drop("month").schema.add("month", "string")).parquet(path)
+    rows = rows.where(F.col("month").between(first, last))
+    return rows if of is None else rows.join(F.broadcast(of.select("month").distinct()), "month")
+
+
 def json_series(rows: DataFrame, key: str, body: Column) -> DataFrame:
     """One row for each {date, items} of a JSON array: key, month, items."""
     parsed = rows.select(key, F.explode(F.from_json(body, "array<struct<date: string, items: double>>")).alias("_p"))
