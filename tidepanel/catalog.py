@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from .catalog_sql import ORACLES
 from .functions.months import month_text, parse_month
 from .operators import concentration, evaluate, explain, history, lagjoin, panel, quality, resolve, upsert
-from .plans import model, proxies
+from .plans import model, proxies, walkforward
 from .sources import landing, pages, tables
+from .sources.staging import fresh_path, written
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -114,7 +115,7 @@ def lagged_through_codes(spark, d):
     resolved = resolve.resolve(*_names(spark, d)).where(F.col("status") == resolve.OK).select(F.col("name").alias("chemical"), "code")
     values = proxies.table(spark, d, "lineitem").groupBy(F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("code"), F.trunc("l_shipdate", "month").alias("month")).agg(F.sum("l_quantity").alias("total_items"))
     months = values.select("month").distinct()
-    wanted = lagjoin.through_map(resolved.select("chemical").join(F.broadcast(months), F.month("month") <= 2), resolved, "chemical")
+    wanted = lagjoin.through_map(resolved.select("chemical").crossJoin(F.broadcast(months)), resolved, "chemical")  # a row a month
     return _flat(lagjoin.lagged_join(wanted, values, "code", 2, "_lag"))
 
 
@@ -138,6 +139,52 @@ def calibration_bins(spark, d):
     return _flat(evaluate.calibration(_scored(spark, d), "score"))
 
 
+def drawn_top_10(spark, d):
+    return _flat(evaluate.drawn_top_k(_scored(spark, d), "score", "chemical", 42).select("month", "chemical", "score", "y", "rank"))
+
+
+def walk_forward_scores(spark, d):
+    """Every test month's rows with the scores of logistic fits on the months before, all cutoffs fitted together."""
+    frame = model.model_frame(_chemical_features(spark, d))
+    found = walkforward.walk_forward_logistic(frame, {"history": model.HISTORY})
+    return _flat(found.select("chemical", "month", "y", "base_rate", "seasonal_rate", "history"))
+
+
+def walk_forward_comparison(spark, d):
+    """A row for each feature set and burn-in: its measures on the rows that have all features."""
+    rows = written(lagjoin.fair_set(model.model_frame(_lagged(spark, d)), ["items_mom_growth_epd", "log_items_epd"]))
+    out = None
+    for burn_in in (12, 6):
+        scores = written(walkforward.walk_forward_logistic(rows, {"history": model.HISTORY, "with_volume": model.WITH_VOLUME}, burn_in))
+        for name in ("history", "with_volume", "base_rate", "seasonal_rate"):
+            one = evaluate.summary(scores, name).select(F.lit(name).alias("model"), F.lit(burn_in).alias("burn_in"), "average_precision", "mean_precision_at_k", "test_months", "n_rows", "n_positives", F.col("base_rate").alias("positive_rate"))
+            out = one if out is None else out.unionByName(one)
+    return _flat(out)
+
+
+def landed_range(spark, d):
+    """Order lines landed by month; volume and concentration of two years, read from the busy months' folders alone."""
+    path, lines = fresh_path(spark), proxies.facts(spark, d, "brand").withColumn("month", month_text(F.col("month")))
+    months = [r[0] for r in lines.select("month").distinct().collect()]  # a row a month
+    quality.enforce(quality.unreconciled(landing.land(spark, lines, sorted(months), path)), "a month was not landed whole")
+    busy = proxies.table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month")).agg(F.count("*").alias("n")).where("n % 2 = 0")
+    rows = tables.months_between(spark, path, "199701", "199812", busy)
+    return _flat(concentration.volume_and_concentration(rows.withColumn("month", parse_month(F.col("month")))))
+
+
+def sorted_panel(spark, d):
+    """The panel as a sorted table, with each row's place in it."""
+    path = fresh_path(spark)
+    landing.write_sorted(panel.dense_panel(_chemical_events(spark, d), "chemical"), path, "chemical", "month")
+    return _flat(landing.read_sorted(spark, path))
+
+
+def gate_report(spark, d):
+    start, end = (parse_month(F.lit(m)) for m in (ASKED_FROM, BATCH_FROM))
+    rows = proxies.archive(spark, d).select("pack", "month")
+    return _flat(quality.gate_report(rows, "pack", 12, start, F.col("month") < end))
+
+
 def _state_and_batch(spark, d) -> tuple[DataFrame, DataFrame]:
     early = concentration.volume_and_concentration(proxies.facts(spark, d, "brand").where("practice % 2 = 0"))
     now = concentration.volume_and_concentration(proxies.facts(spark, d, "brand"))
@@ -176,7 +223,7 @@ def duplicate_code_months(spark, d):
 
 
 def month_sizes_off(spark, d):
-    return _flat(quality.wrong_month_sizes(proxies.series(spark, d).where("total_items >= 100"), 200))
+    return _flat(quality.wrong_month_sizes(proxies.series(spark, d), 200))
 
 
 def overlapping_months(spark, d):
@@ -221,7 +268,7 @@ def _names(spark, d) -> tuple[DataFrame, DataFrame]:
     dimension = part.select(F.lpad(k.cast("string"), 9, "0").alias("code"), F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("no "), k.cast("string"))).alias("code_name"), F.col("p_brand").alias("section"))
     full = F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("no "), k.cast("string")))
     name = F.when(k % 5 == 0, full).when(k % 5 == 1, F.concat_ws(" ", "p_name", "p_type")).when(k % 5 == 2, F.concat(F.lit("no "), k.cast("string"))).when(k % 5 == 3, F.concat(F.lit("un"), full)).otherwise(F.upper(full))
-    return part.where("p_size <= 3").select(name.alias("name")), dimension
+    return part.select(name.alias("name")), dimension
 
 
 def resolved_names(spark, d):
@@ -240,7 +287,8 @@ def resolver_known_answers(spark, d):
 
 def _volume(spark, d) -> DataFrame:
     names, dimension = _names(spark, d)
-    resolved = resolve.resolve(names, dimension).join(resolve.candidates(resolve.name_matches(names, dimension)), "name", "left")
+    found = written(resolve.name_matches(names, dimension))
+    resolved = resolve.resolved(names, found).join(resolve.candidates(found), "name", "left")
     codes = resolve.codes_of(resolved.where(F.col("status") != resolve.NO_MATCH))
     values = proxies.table(spark, d, "lineitem").groupBy(F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("code"), F.trunc("l_shipdate", "month").alias("month")).agg(F.sum("l_quantity").alias("items"))
     lost = F.col("code").endswith("7")
@@ -277,9 +325,8 @@ def page_latest_tokens(spark, d):
 
 
 def _price_lines(spark, d) -> DataFrame:
-    """Lines of a page a month: a header, a row for each large line, and a footer with their number; one month states another."""
-    big = proxies._lines(spark, d).where("l_quantity >= 48")
-    rows = big.select(F.date_format("month", "yyyyMM").alias("page"), "month", F.concat(F.lit("| "), "p_name", F.lit(" | "), F.col("p_size").cast("string"), F.lit(" | £"), F.format_number("l_extendedprice", 2), F.when(F.col("l_linenumber") == 1, F.concat(F.lit(" (previously £"), F.format_number("p_retailprice", 2), F.lit(")"))).otherwise(""), F.lit(" |")).alias("line"), (F.col("l_orderkey") * 8 + F.col("l_linenumber") + 1).alias("line_no"))
+    """Lines of a page a month: a header, a row for each order line, and a footer with their number; one month states another."""
+    rows = proxies._lines(spark, d).select(F.date_format("month", "yyyyMM").alias("page"), "month", F.concat(F.lit("| "), "p_name", F.lit(" | "), F.col("p_size").cast("string"), F.lit(" | £"), F.format_number("l_extendedprice", 2), F.when(F.col("l_linenumber") == 1, F.concat(F.lit(" (previously £"), F.format_number("p_retailprice", 2), F.lit(")"))).otherwise(""), F.lit(" |")).alias("line"), (F.col("l_orderkey") * 8 + F.col("l_linenumber") + 1).alias("line_no"))
     pages_ = rows.groupBy("page", "month").agg(F.count("*").alias("n"), F.max("line_no").alias("last"))
     head = pages_.select("page", F.lit(0).cast("long").alias("line_no"), F.concat(F.lit("Prices of "), F.date_format("month", "MMMM yyyy")).alias("line"))
     n = F.col("n") + F.when(F.col("page").endswith("03"), 1).otherwise(0)
@@ -298,7 +345,11 @@ def price_page_faults(spark, d):
 def _facts(spark, d) -> DataFrame:
     frame = model.at_risk(model.model_frame(_chemical_features(spark, d)))
     weighed = model.facts_weights(frame).withColumn("score", F.coalesce("chemical_historical_onset_rate", F.lit(0.0)))
-    return weighed.withColumn("facts", explain.ranked_facts({k: F.round(f"_w_{k}", 9) for k in ("recency", "episodes", "rate", "season")}))
+    return weighed.withColumn("facts", explain.ranked_facts(_weights()))
+
+
+def _weights() -> dict:
+    return {k: F.round(f"_w_{k}", 9) for k in explain.WEIGHTS}
 
 
 def fact_sentences(spark, d):
@@ -307,14 +358,14 @@ def fact_sentences(spark, d):
 
 def sentence_audits(spark, d):
     told = _facts(spark, d).withColumn("text", explain.sentence(F.col("chemical"), F.col("score"), F.col("facts")))
-    changed = told.withColumn("text", F.regexp_replace("text", "month", "day")).withColumn("text", F.regexp_replace("text", "[1-4]", "9"))
+    changed = told.withColumn("text", F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "month", "day"), "below average", "above average"), "[1-4]", "9"))
     shown = lambda problems: F.array_join(problems, ";")
     return changed.select("chemical", shown(explain.lost_percentages(F.col("facts"), F.col("text"))).alias("percentages"), shown(explain.lost_integers(F.col("facts"), F.col("text"))).alias("integers"), shown(explain.lost_facts(F.col("facts"), F.col("text"))).alias("lost"))
 
 
 def explained_top(spark, d):
     scored = _facts(spark, d)
-    told = explain.explain_top(scored, "chemical", {k: F.round(f"_w_{k}", 9) for k in ("recency", "episodes", "rate", "season")})
+    told = explain.explain_top(scored, "chemical", _weights())
     return _flat(told.select("chemical", "month", "score", "explanation", "explanation_method"))
 
 
@@ -348,5 +399,5 @@ QUERIES = {f.__name__: f for f in (
     duplicate_code_months, month_sizes_off, overlapping_months, merged_sources, packs_without_events, late_start_packs, unprocessed_months, wrong_month_rows,
     run_metrics, resolved_names, resolution_tally, resolver_known_answers, volume_over_codes, partial_volume_names, json_series, page_links, page_month_links,
     page_text_links, page_latest_tokens, price_page_rows, price_page_faults, fact_sentences, sentence_audits, explained_top, latest_predictions, entity_history,
-    table_totals, trained_scores,
+    table_totals, trained_scores, drawn_top_10, walk_forward_scores, walk_forward_comparison, landed_range, sorted_panel, gate_report,
 )}

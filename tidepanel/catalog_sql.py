@@ -109,7 +109,7 @@ TOLD = "CASE WHEN month({t}.month) < {m} THEN 'told ' || {t}.code END"
 NAMES = """
 dim AS (SELECT lpad(p_partkey::VARCHAR, 9, '0') AS code, p_name || ' ' || p_type || ' no ' || p_partkey AS code_name, p_brand AS section FROM part),
 names AS (SELECT DISTINCT CASE p_partkey % 5 WHEN 0 THEN full_name WHEN 1 THEN p_name || ' ' || p_type WHEN 2 THEN 'no ' || p_partkey WHEN 3 THEN 'un' || full_name ELSE upper(full_name) END AS name
-          FROM (SELECT *, p_name || ' ' || p_type || ' no ' || p_partkey AS full_name FROM part) WHERE p_size <= 3),
+          FROM (SELECT *, p_name || ' ' || p_type || ' no ' || p_partkey AS full_name FROM part)),
 hits AS (SELECT name, code, code_name, section, starts_with(lower(code_name), lower(name)) AS is_prefix FROM names, dim WHERE contains(lower(code_name), lower(name))),
 best AS (SELECT name, count(*) FILTER (WHERE is_prefix) AS p, count(*) AS a, min(code) FILTER (WHERE is_prefix) AS pc, min(code) AS ac FROM hits GROUP BY name),
 resolved AS (SELECT n.name, CASE WHEN p = 1 THEN 'ok (prefix match)' WHEN p > 1 THEN 'AMBIGUOUS' WHEN a > 0 THEN 'APPROXIMATE' ELSE 'no match' END AS status,
@@ -131,17 +131,16 @@ def first_link(test: str) -> str:
     return f"WITH {LINKS} SELECT page_id, CASE WHEN href LIKE '/%' THEN 'https://example.org' || href ELSE href END AS href FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY position) AS r FROM links WHERE {test}) WHERE r = 1"
 
 
-BIG = "FROM epd WHERE items >= 48"
 LATEST = CHEM + """,
-risk AS (SELECT *, coalesce(time_since_last_concession, 999) AS ts, sin(2 * pi() * month(month) / 12) AS ms, coalesce(rate, 0) AS score
+risk AS (SELECT *, coalesce(time_since_last_concession, 999) AS ts, sin(2 * pi() * month(month) / 12) AS ms, cos(2 * pi() * month(month) / 12) AS mc, coalesce(rate, 0) AS score
          FROM feat WHERE NOT on_concession AND month = (SELECT max(month) FROM feat)),
-weighed AS (SELECT *, round(coalesce(ts - avg(ts) OVER (), 0), 9) AS w0, round(coalesce(n_previous_episodes - avg(n_previous_episodes) OVER (), 0), 9) AS w1,
-                   round(coalesce(rate - avg(rate) OVER (), 0), 9) AS w2, round(coalesce(ms - avg(ms) OVER (), 0), 9) AS w3 FROM risk),
-named AS (SELECT *, CASE WHEN never_seen_on_concession THEN 'never on concession before' ELSE 'last on concession before ' || time_since_last_concession || ' month' || CASE WHEN time_since_last_concession = 1 THEN '' ELSE 's' END END AS f0,
+weighed AS (SELECT *, round(coalesce(streak_length - avg(streak_length) OVER (), 0), 9) AS ws, round(coalesce(ts - avg(ts) OVER (), 0), 9) AS w0, round(coalesce(n_previous_episodes - avg(n_previous_episodes) OVER (), 0), 9) AS w1,
+                   round(coalesce(rate - avg(rate) OVER (), 0), 9) AS w2, round(coalesce(ms - avg(ms) OVER (), 0), 9) AS w3, round(coalesce(mc - avg(mc) OVER (), 0), 9) AS w4 FROM risk),
+named AS (SELECT *, CASE WHEN never_seen_on_concession THEN 'never on concession before' WHEN streak_length <= 1 THEN 'came off concession last month' ELSE 'clear of concession for ' || streak_length::BIGINT || ' months' END AS f0,
                  n_previous_episodes || ' previous episode' || CASE WHEN n_previous_episodes = 1 THEN '' ELSE 's' END AS f1,
                  CASE WHEN rate IS NULL THEN 'no onset rate known' ELSE 'onset rate ' || round_even(rate * 100, 0)::BIGINT || '% over ' || n_prior || ' month' || CASE WHEN n_prior = 1 THEN '' ELSE 's' END END AS f2,
-                 'season of ' || strftime(month, '%B') AS f3 FROM weighed),
-long AS (SELECT entity, score, abs(w0) AS w, 0 AS o, f0 AS f FROM named UNION ALL SELECT entity, score, abs(w1), 1, f1 FROM named UNION ALL SELECT entity, score, abs(w2), 2, f2 FROM named UNION ALL SELECT entity, score, abs(w3), 3, f3 FROM named),
+                 'onsets in ' || strftime(month, '%B') || ' are ' || CASE WHEN w3 + w4 > 0 THEN 'above' ELSE 'below' END || ' average' AS f3 FROM weighed),
+long AS (SELECT entity, score, greatest(abs(ws), abs(w0)) AS w, 0 AS o, f0 AS f FROM named UNION ALL SELECT entity, score, abs(w1), 1, f1 FROM named UNION ALL SELECT entity, score, abs(w2), 2, f2 FROM named UNION ALL SELECT entity, score, abs(w3) + abs(w4), 3, f3 FROM named),
 top3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY w DESC, o) AS r FROM long) WHERE r <= 3),
 told AS (SELECT entity, any_value(score) AS score, entity || ' has a ' || round_even(any_value(score) * 100, 0)::BIGINT || '% chance of onset next month: ' || string_agg(f, '; ' ORDER BY r) || '.' AS sentence FROM top3 GROUP BY entity)"""
 
@@ -166,7 +165,7 @@ ORACLES = {
     "fair_comparison_set": f"WITH {LAGGED} SELECT chemical, strftime(month, '%Y%m') AS month, label AS label_onset_next_month, round(growth, 8) AS items_mom_growth_epd, round(logged, 8) AS log_items_epd FROM lagged WHERE label IS NOT NULL AND growth IS NOT NULL AND logged IS NOT NULL",
     "lagged_through_codes": f"""WITH {NAMES}, v AS (SELECT lpad(l_partkey::VARCHAR, 9, '0') AS code, date_trunc('month', l_shipdate)::DATE AS month, sum(l_quantity) AS t FROM lineitem GROUP BY ALL)
         SELECT r.name AS chemical, strftime(m.month, '%Y%m') AS month, r.code, v.t AS total_items_lag
-        FROM (SELECT name, code FROM resolved WHERE status = 'ok (prefix match)') r JOIN (SELECT DISTINCT month FROM v WHERE month(month) <= 2) m ON true LEFT JOIN v ON v.code = r.code AND v.month = m.month - INTERVAL 2 MONTH""",
+        FROM (SELECT name, code FROM resolved WHERE status = 'ok (prefix match)') r JOIN (SELECT DISTINCT month FROM v) m ON true LEFT JOIN v ON v.code = r.code AND v.month = m.month - INTERVAL 2 MONTH""",
     "baseline_rates": f"WITH {SCORED} SELECT chemical, strftime(month, '%Y%m') AS month, y, round(base_rate, 8) AS base_rate, round(seasonal_rate, 8) AS seasonal_rate FROM scored",
     "average_precision": f"WITH {SCORED}, {AVERAGE_PRECISION} SELECT round(average_precision, 8) AS average_precision FROM ap",
     "precision_at_10": f"WITH {SCORED}, {PRECISION} SELECT strftime(month, '%Y%m') AS month, round(precision, 8) AS precision FROM pk",
@@ -180,7 +179,7 @@ ORACLES = {
     "upsert_scores_take_text": f"WITH {STATE} SELECT {KEY}, round(CASE WHEN ba.code IS NULL THEN st.hhi ELSE ba.hhi END, 8) AS score, CASE WHEN ba.code IS NULL THEN {TOLD.format(t='st', m=7)} ELSE {TOLD.format(t='ba', m=4)} END AS explanation, coalesce(ba.run, st.run)::BIGINT AS run {BOTH}",
     "upsert_outcomes": f"WITH {STATE} SELECT {KEY}, coalesce(ba.total_items, st.total_items) > 100 AS on_concession, coalesce(st.run, ba.run)::BIGINT AS recorded_run {BOTH}",
     "duplicate_code_months": f"WITH {EPD} SELECT p_partkey::VARCHAR AS code, strftime(month, '%Y%m') AS month, count(DISTINCT practice) AS n_rows FROM epd GROUP BY ALL HAVING count(DISTINCT practice) > 1",
-    "month_sizes_off": f"WITH {EPD}, {SERIES} SELECT strftime(month, '%Y%m') AS month, count(*) AS n_rows FROM series WHERE total_items >= 100 GROUP BY ALL HAVING count(*) <> 200",
+    "month_sizes_off": f"WITH {EPD}, {SERIES} SELECT strftime(month, '%Y%m') AS month, count(*) AS n_rows FROM series GROUP BY ALL HAVING count(*) <> 200",
     "overlapping_months": f"WITH {EPD}, {SERIES} SELECT DISTINCT strftime(month, '%Y%m') AS month FROM series WHERE month < DATE '2000-01-01' AND month >= DATE '1999-01-01'",
     "merged_sources": f"WITH {EPD}, {SERIES} SELECT chemical AS chemical_name, strftime(month, '%Y%m') AS month, total_items FROM series",
     "packs_without_events": f"WITH {ARCHIVE} SELECT p_partkey AS pack FROM part WHERE p_partkey NOT IN (SELECT pack FROM archive)",
@@ -201,22 +200,34 @@ ORACLES = {
     "page_text_links": first_link("contains(lower(text), 'the')"),
     "page_latest_tokens": f"WITH {LINKS} SELECT page_id, max(t) AS latest FROM (SELECT page_id, unnest(regexp_extract_all(text || ' ' || href, '[a-z]{{4,}}')) AS t FROM links) GROUP BY page_id",
     "price_page_rows": f"""WITH {EPD} SELECT strftime(month, '%Y%m') AS page, l_orderkey * 8 + l_linenumber + 1 AS line_no, p_name AS drug, p_size::VARCHAR AS pack, round(l_extendedprice, 2) AS price,
-        CASE WHEN l_linenumber = 1 THEN round(p_retailprice, 2) END AS previous_price {BIG}""",
-    "price_page_faults": f"WITH {EPD} SELECT strftime(month, '%Y%m') AS page, strftime(month, '%Y%m') AS month, count(*) + 1 AS stated_total, count(*) AS n_rows, 'total differs' AS fault {BIG} AND month(month) = 3 GROUP BY month",
+        CASE WHEN l_linenumber = 1 THEN round(p_retailprice, 2) END AS previous_price FROM epd""",
+    "price_page_faults": f"WITH {EPD} SELECT strftime(month, '%Y%m') AS page, strftime(month, '%Y%m') AS month, count(*) + 1 AS stated_total, count(*) AS n_rows, 'total differs' AS fault FROM epd WHERE month(month) = 3 GROUP BY month",
     "fact_sentences": f"WITH {LATEST} SELECT entity AS chemical, sentence FROM told",
     "sentence_audits": rf"""WITH {LATEST}, words AS (SELECT unnest(range(21))::VARCHAR AS d, unnest(string_split('zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty', ' ')) AS w),
-        changed AS (SELECT entity, regexp_replace(replace_first, '[1-4]', '9', 'g') AS text FROM (SELECT entity, replace(sentence, 'month', 'day') AS replace_first FROM told)),
+        changed AS (SELECT entity, regexp_replace(replace_first, '[1-4]', '9', 'g') AS text FROM (SELECT entity, replace(replace(sentence, 'month', 'day'), 'below average', 'above average') AS replace_first FROM told)),
         pieces AS (SELECT entity, r, f, text FROM top3 JOIN changed USING (entity)),
         pct AS (SELECT entity, r, text, unnest(regexp_extract_all(f, '\d+%')) AS p, unnest(range(len(regexp_extract_all(f, '\d+%')))) AS i FROM pieces),
         ints AS (SELECT entity, r, text, unnest(regexp_extract_all(f || ' ', '(\d+)[^\d%]', 1)) AS p, unnest(range(len(regexp_extract_all(f || ' ', '(\d+)[^\d%]', 1)))) AS i FROM pieces),
         badp AS (SELECT entity, string_agg(p, ';' ORDER BY r, i) AS v FROM pct WHERE NOT contains(text, p) GROUP BY entity),
         badi AS (SELECT entity, string_agg(p, ';' ORDER BY r, i) AS v FROM ints LEFT JOIN words ON d = p WHERE NOT contains(text, p) AND NOT coalesce(contains(lower(text), w), false) GROUP BY entity),
-        badf AS (SELECT entity, string_agg(f, ';' ORDER BY r) AS v FROM pieces WHERE CASE WHEN contains(f, 'concession before') THEN NOT contains(lower(text), 'concession') WHEN contains(f, 'previous episode') THEN NOT contains(lower(text), 'episode')
-                 WHEN contains(f, 'onset rate') THEN NOT contains(lower(text), 'rate') WHEN contains(f, 'season') THEN NOT (contains(lower(text), 'season') OR contains(lower(text), 'month')) ELSE false END GROUP BY entity)
+        badf AS (SELECT entity, string_agg(f, ';' ORDER BY r) AS v FROM pieces WHERE CASE WHEN contains(f, 'never on concession') THEN NOT regexp_matches(lower(text), '\bnever\b') WHEN contains(f, 'came off') THEN NOT regexp_matches(lower(text), '\b(came off|last month)\b')
+                 WHEN contains(f, 'clear of') THEN NOT regexp_matches(lower(text), '\bclear\b') WHEN contains(f, 'previous episode') THEN NOT regexp_matches(lower(text), '\bepisodes?\b') WHEN contains(f, 'onset rate') THEN NOT regexp_matches(lower(text), '\brate\b')
+                 WHEN contains(f, 'above average') THEN NOT (regexp_matches(lower(text), '\babove\b') AND regexp_matches(lower(text), '\baverage\b')) WHEN contains(f, 'below average') THEN NOT (regexp_matches(lower(text), '\bbelow\b') AND regexp_matches(lower(text), '\baverage\b')) ELSE false END GROUP BY entity)
         SELECT c.entity AS chemical, coalesce(badp.v, '') AS percentages, coalesce(badi.v, '') AS integers, coalesce(badf.v, '') AS lost FROM changed c LEFT JOIN badp USING (entity) LEFT JOIN badi USING (entity) LEFT JOIN badf USING (entity)""",
     "explained_top": f"""WITH {LATEST} SELECT entity AS chemical, (SELECT strftime(max(month), '%Y%m') FROM feat) AS month, round(score, 8) AS score, CASE WHEN r <= 10 THEN sentence END AS explanation, CASE WHEN r <= 10 THEN 'template' END AS explanation_method
         FROM (SELECT *, row_number() OVER (ORDER BY score DESC, entity) AS r FROM told)""",
     "latest_predictions": f"WITH {LOG} SELECT chemical, strftime(month, '%Y%m') AS month, total_items, round(score, 4) AS score FROM log WHERE month = (SELECT max(month) FROM log) ORDER BY log.score DESC, chemical LIMIT 20",
     "entity_history": f"WITH {LOG} SELECT chemical, strftime(month, '%Y%m') AS month, total_items, round(score, 8) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY chemical ORDER BY month DESC) AS rank FROM log) WHERE rank <= 12",
+    "drawn_top_10": f"""WITH {SCORED} SELECT strftime(month, '%Y%m') AS month, chemical, round(score, 8) AS score, y, rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY score DESC, md5('42:' || month::VARCHAR || ':' || chemical), chemical) AS rank FROM scored) WHERE rank <= 10""",
+    "landed_range": f"""WITH {EPD}, busy AS (SELECT date_trunc('month', o_orderdate)::DATE AS m FROM orders GROUP BY ALL HAVING count(*) % 2 = 0), {volume(*BRAND)}
+        {VOLUME_OUT} WHERE month BETWEEN DATE '1997-01-01' AND DATE '1998-12-01' AND month IN (SELECT m FROM busy)""",
+    "sorted_panel": f"WITH {CHEM} SELECT entity AS chemical, strftime(month, '%Y%m') AS month, on_concession, row_number() OVER (ORDER BY entity, month) - 1 AS position FROM dense",
+    "gate_report": f"""WITH {ARCHIVE}, g AS (SELECT 'unmapped' AS gate, (SELECT count(*) FROM archive WHERE pack IS NULL) AS n_violations
+        UNION ALL SELECT 'duplicate_keys', (SELECT count(*) FROM (SELECT 1 FROM archive GROUP BY pack, month HAVING count(*) > 1))
+        UNION ALL SELECT 'wrong_month_sizes', (SELECT count(*) FROM (SELECT 1 FROM archive GROUP BY month HAVING count(*) <> 12))
+        UNION ALL SELECT 'other_months', (SELECT count(*) FROM archive WHERE NOT month < DATE '2000-01-01')
+        UNION ALL SELECT 'late_starts', (SELECT count(*) FROM (SELECT 1 FROM archive GROUP BY pack HAVING min(month) >= DATE '1999-01-01')))
+        SELECT gate, n_violations, n_violations = 0 AS passed FROM g""",
     "table_totals": f"WITH {LOG} SELECT count(*) AS n_predictions, strftime(max(month), '%Y%m') AS latest_prediction, count(*) AS n_features, strftime(max(month), '%Y%m') AS latest_features FROM log",
 }

@@ -8,28 +8,42 @@ from pyspark.sql import functions as F
 from ..functions.text import percent, plural
 
 #: Words of the numbers 0 to 20, in order: fixed values of the audits.
-NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty".split()
-#: What a fact's text holds, and the words one of which a text about it must hold.
-SIGNATURES = [("concession before", ("concession",)), ("previous episode", ("episode",)), ("onset rate", ("rate",)), ("season", ("season", "month"))]
+NUMBER_WORDS = [
+    "zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten",
+    "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty",
+]
+#: What a fact holds, and what a text about it must hold, all of it: words, in lower case and whole.
+SIGNATURES = [
+    ("never on concession", ["never"]), ("came off concession", ["came off|last month"]), ("clear of concession", ["clear"]), ("previous episode", ["episodes?"]),
+    ("onset rate", ["rate"]), ("above average", ["above", "average"]), ("below average", ["below", "average"]),
+]
+#: The contributions that facts are ranked by.
+WEIGHTS = ["streak", "since", "episodes", "rate", "sin", "cos"]
 
 
 def _fact(weight: Column, ordinal: int, text: Column) -> Column:
-    return F.struct((-F.abs(weight)).alias("w"), F.lit(ordinal).alias("o"), text.alias("fact"))
+    return F.struct((-weight).alias("w"), F.lit(ordinal).alias("o"), text.alias("fact"))
 
 
 def ranked_facts(weights: dict[str, Column], keep: int = 3) -> Column:
     """The `keep` weightiest of four facts of a row, ties in the order recency, episodes, rate, season.
 
-    weights: recency, episodes, rate, season -> the contribution of each. The columns of `history_features` are read.
+    weights: the contribution of each of WEIGHTS. Streak and time since the last concession tell the same, so the larger of
+    them is the weight of recency; the season weighs what its two halves do together, and their sum says whether it lies above
+    the average. The columns of `history_features` are read.
     """
-    since = F.col("time_since_last_concession")
-    recency = F.when(F.col("never_seen_on_concession"), "never on concession before").otherwise(F.concat(F.lit("last on concession before "), plural(since, "month")))
+    streak = F.col("streak_length")
+    recency = F.when(F.col("never_seen_on_concession"), "never on concession before").when(streak <= 1, "came off concession last month").otherwise(F.concat(F.lit("clear of concession for "), plural(streak, "month")))
     episodes = plural(F.col("n_previous_episodes"), "previous episode")
     n = F.col("n_prior_valid_transitions")
     rate = F.when(F.col("chemical_historical_onset_rate").isNull(), "no onset rate known").otherwise(F.concat(F.lit("onset rate "), percent(F.col("chemical_historical_onset_rate")), F.lit(" over "), plural(n, "month")))
-    season = F.concat(F.lit("season of "), F.date_format("month", "MMMM"))
-    texts = {"recency": recency, "episodes": episodes, "rate": rate, "season": season}
-    facts = F.array(*[_fact(weights[k], i, t) for i, (k, t) in enumerate(texts.items())])
+    way = F.when(weights["sin"] + weights["cos"] > 0, "above").otherwise("below")
+    season = F.concat(F.lit("onsets in "), F.date_format("month", "MMMM"), F.lit(" are "), way, F.lit(" average"))
+    told = [
+        (F.greatest(F.abs(weights["streak"]), F.abs(weights["since"])), recency), (F.abs(weights["episodes"]), episodes), (F.abs(weights["rate"]), rate),
+        (F.abs(weights["sin"]) + F.abs(weights["cos"]), season),
+    ]
+    facts = F.array(*[_fact(w, i, t) for i, (w, t) in enumerate(told)])
     return F.transform(F.slice(F.array_sort(facts), 1, keep), lambda f: f["fact"])
 
 
@@ -53,15 +67,15 @@ def lost_integers(facts: Column, text: Column) -> Column:
 
 
 def lost_facts(facts: Column, text: Column) -> Column:
-    """Facts none of whose words the text holds; the first signature that a fact has decides."""
+    """Facts of which the text lacks the words, the direction of the season included; the first signature that a fact has decides."""
     low = F.lower(text)
 
     def missing(fact: Column) -> Column:
         out = F.lit(False)
-        for sign, words in reversed(SIGNATURES):
-            held = F.lit(False)
-            for w in words:
-                held = held | F.contains(low, F.lit(w))
+        for sign, needed in reversed(SIGNATURES):
+            held = F.lit(True)
+            for words in needed:
+                held = held & low.rlike(rf"\b({words})\b")
             out = F.when(F.contains(fact, F.lit(sign)), ~held).otherwise(out)
         return out
 

@@ -50,3 +50,26 @@ def unreconciled(audit: DataFrame) -> DataFrame:
 
 def rows_by_month(rows: DataFrame) -> DataFrame:
     return rows.groupBy("month").agg(F.count("*").alias("n_rows"))
+
+
+def gate_report(rows: DataFrame, entity: str, expected: int, cutoff: Column, asked: Column) -> DataFrame:
+    """gate, n_violations, passed: the gates of a monthly series (entity, month), all from one read of it.
+
+    unmapped: rows without an entity. duplicate_keys: entities and months that occur together more than once.
+    wrong_month_sizes: months that don't have the expected number of rows. other_months: rows of months that `asked` (a
+    condition on month) leaves out, or of none. late_starts: entities without a row before the cutoff. Each count is that of
+    the rows which the gate of the same name returns; these are read only where it is above zero. An empty table passes.
+    """
+    cells = rows.groupBy(F.col(entity).alias("_e"), "month").agg(F.count("*").alias("n"))
+    sets = cells.groupingSets([["_e"], ["month"], []], "_e", "month").agg(
+        F.grouping_id().alias("level"), F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("twice"), F.sum(F.when(F.col("_e").isNull(), F.col("n"))).alias("nameless"),
+        F.sum(F.when(~F.coalesce(asked, F.lit(False)), F.col("n"))).alias("other"), F.min("month").alias("first"),
+    )
+    of_entity, of_month, of_all = (F.col("level") == i for i in (1, 2, 3))
+    counts = {
+        "unmapped": F.sum(F.when(of_all, F.col("nameless"))), "duplicate_keys": F.sum(F.when(of_all, F.col("twice"))), "wrong_month_sizes": F.count_if(of_month & (F.col("n") != expected)),
+        "other_months": F.sum(F.when(of_all, F.col("other"))), "late_starts": F.count_if(of_entity & (F.col("first") >= cutoff)),
+    }
+    one = sets.agg(*[F.coalesce(c, F.lit(0)).alias(k) for k, c in counts.items()])
+    lines = F.array(*[F.struct(F.lit(k).alias("gate"), F.col(k).alias("n_violations"), (F.col(k) == 0).alias("passed")) for k in counts])
+    return one.select(F.inline(lines))

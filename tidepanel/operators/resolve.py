@@ -5,38 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 OK, AMBIGUOUS, APPROXIMATE, NO_MATCH = "ok (prefix match)", "AMBIGUOUS", "APPROXIMATE", "no match"
 
 
-def _grams(text: Column) -> Column:
-    """The distinct strings of 1, 2 and 3 characters in a text."""
+#: Codes that one task compares with the names of a gram; a gram of more codes is split.
+HOT_GRAM = 20_000
+
+
+def _grams(text: Column, sizes: list[int]) -> Column:
+    """The distinct strings of so many characters in a text."""
     at = lambda n: F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array())
-    return F.array_distinct(F.concat(at(1), at(2), at(3)))
+    return F.array_distinct(F.concat(*[at(n) for n in sizes]))
 
 
-def name_matches(names: DataFrame, dimension: DataFrame) -> DataFrame:
+def name_matches(names: DataFrame, dimension: DataFrame, hot: int = HOT_GRAM) -> DataFrame:
     """names: name; dimension: code, code_name, section -> name, code, code_name, section, is_prefix of each code whose name holds the name.
 
-    A code name that holds a name holds all its grams of 3 characters, so the two meet on the rarest of them (of
-    min(3, length) characters), whatever the lengths, and the pairs that meet are tested.
+    Both are compared in lower case without white space at their ends. A code name that holds a name holds all its grams of 3
+    characters, so the two meet on the rarest of them (of min(3, length) characters), whatever the lengths, and the pairs
+    that meet are tested. Codes of a gram that more than `hot` of them hold are dealt to several parts by their hash, and the
+    names that meet there go to each part. A name that is empty or null has no match.
     """
-    holders = dimension.withColumn("_low", F.lower("code_name")).withColumn("_gram", F.explode(_grams(F.col("_low"))))
-    frequency = holders.groupBy("_gram").agg(F.count("*").alias("_n"))
-    asked = names.select("name").distinct().withColumn("_name", F.lower("name"))
+    asked = names.select("name").distinct().withColumn("_name", F.lower(strip(F.col("name")))).where(F.length("_name") > 0)
     size = F.least(F.lit(3), F.length("_name"))
-    grams = asked.where(F.length("_name") > 0).select("name", "_name", F.explode(F.filter(_grams(F.col("_name")), lambda g: F.length(g) == size)).alias("_gram"))
-    rarest = grams.join(frequency, "_gram", "left").groupBy("name", "_name").agg(F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
-    met = rarest.join(holders, "_gram").where(F.col("_low").contains(F.col("_name")))
+    sizes = sorted(r[0] for r in asked.select(size).distinct().collect()) or [3]  # at most 1, 2 and 3
+    low = dimension.withColumn("_low", F.lower(strip(F.col("code_name"))))
+    holders = low.withColumn("_gram", F.explode(_grams(F.col("_low"), sizes)))
+    frequency = holders.groupBy("_gram").agg(F.count("*").alias("_n"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / hot)).cast("int")
+    grams = asked.select("name", "_name", F.explode(F.filter(_grams(F.col("_name"), sizes), lambda g: F.length(g) == size)).alias("_gram"))
+    found = grams.join(frequency, "_gram", "left").groupBy("name", "_name").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), F.col("_gram").alias("_gram"))).alias("_best"))
+    rarest = found.select("name", "_name", "_best.*").where("_n > 0").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    split = frequency.where(F.col("_n") > hot).select("_gram", parts.alias("_parts"))
+    dealt = holders.join(split, "_gram", "left").withColumn("_part", F.pmod(F.xxhash64("code"), F.coalesce("_parts", F.lit(1))).cast("int"))
+    met = rarest.join(dealt, ["_gram", "_part"]).where(F.col("_low").contains(F.col("_name")))
     return met.select("name", "code", "code_name", "section", F.col("_low").startswith(F.col("_name")).alias("is_prefix"))
 
 
 def resolve(names: DataFrame, dimension: DataFrame) -> DataFrame:
-    """name, status, code, code_name, n_candidates for each distinct name.
+    return resolved(names, name_matches(names, dimension))
+
+
+def resolved(names: DataFrame, found: DataFrame) -> DataFrame:
+    """found: what `name_matches` gives for the names -> name, status, code, code_name, n_candidates for each distinct name.
 
     One prefix match is ok, several are ambiguous (no code); without one, a match inside is approximate (the lowest
     code); else there is none. `candidates` renders the matches.
     """
-    found = name_matches(names, dimension)
     best = found.groupBy("name").agg(
         F.count_if("is_prefix").alias("_prefix"), F.count("*").alias("_all"),
         F.min(F.when(F.col("is_prefix"), F.struct("code", "code_name"))).alias("_p"), F.min(F.struct("code", "code_name")).alias("_a"),
@@ -48,10 +65,11 @@ def resolve(names: DataFrame, dimension: DataFrame) -> DataFrame:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """name, all_candidates: `code=name (section)` of each prefix match, in order of code."""
+    """name, all_candidates: `code=name (section)` in order of code, of the prefix matches where there are several, else of all matches."""
     text = F.concat(F.col("code"), F.lit("="), F.col("code_name"), F.lit(" ("), F.col("section"), F.lit(")"))
-    listed = found.where("is_prefix").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("code", text.alias("t")))).alias("_c"))
-    return listed.select("name", F.array_join(F.transform("_c", lambda c: c["t"]), "; ").alias("all_candidates"))
+    listed = found.groupBy("name").agg(F.count_if("is_prefix").alias("_n"), F.sort_array(F.collect_list(F.struct("code", text.alias("t"), "is_prefix"))).alias("_c"))
+    shown = F.filter("_c", lambda c: c["is_prefix"] | (F.col("_n") < 2))
+    return listed.select("name", F.array_join(F.transform(shown, lambda c: c["t"]), "; ").alias("all_candidates"))
 
 
 def tally(resolved: DataFrame) -> DataFrame:
