@@ -1,9 +1,11 @@
 """Best-fit packing of token sequences by bin completion.
 
-Documents are tokenized in Arrow functions, cut into pieces of at most CAPACITY ids, and dealt to shards by their
-doc_id. A shard packs by bin completion over the counts of each length: the bin of the largest piece is closed with an
-undominated filling, branches are cut once their waste passes what a better packing may waste, and best-fit packings
-are the incumbents. Shards hold about SHARD documents at every size of the table, so each adds one open bin at most.
+Documents are tokenized in Arrow functions, cut into pieces of at most CAPACITY ids, and dealt evenly to shards, whatever
+their doc_id; pieces as long as a sequence stay where they are. A shard packs by bin completion over the counts of each
+length: the bin of the largest piece is closed with the undominated filling of least waste, bin after bin; then windows of
+the worst bins are searched for a packing with one bin less, whose branches are cut once their waste passes what it may
+waste. Best-fit packings are the incumbents. Shards hold about SHARD documents at every size of the table, so each adds one
+open bin at most.
 """
 
 from __future__ import annotations
@@ -25,25 +27,39 @@ from .common import documents, durable, shards_for, text_of
 from .token_counts import balanced, model_path
 
 MODEL, CAPACITY, SHARD = "word_bpe_49k.json", 2048, 20_000
-#: Branches that the search of one shard tries before it settles for the incumbent.
-NODES = 4000
-#: Fillings of one bin that are tried, and pieces besides the largest that a tried filling holds.
-WIDTH, DEPTH = 3, 3
+#: Branches that the search of a shard tries for each of its bins, and for one window.
+NODES_A_BIN, NODES_A_WINDOW = 3, 400
+#: Fillings of one bin that are tried, and bins of a window at most.
+WIDTH, WINDOW = 4, 48
 SPACES = re.compile(r"[ \n\t\r]+")
 #: Characters that Python takes for white space and the tokenizer doesn't.
 ODD = "\x1c\x1d\x1e\x1f"
 #: Between a letter and these marks the tokenizer always cuts.
-MARKS = re.compile(r"(?<=[a-zß-öø-ÿ])(?=[,.;:!?])")
+MARKS = re.compile(r"(?=[!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~])(?<=[a-zß-öø-ÿ])")
 BATCH_BYTES, MEMORY_UNITS = 4 << 20, 250_000
+#: What the tokenizer's closing ids of a word end with, and words that are encoded as one text.
+END, TOGETHER = "</w>", 4000
+
+
+def latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 def units(text: str) -> list[str]:
-    if "<" in text or not (text.isascii() or max(text) <= "ÿ"):
+    if "<" in text or not latin(text):
         return SPACES.split(text)
     low = MARKS.sub(" ", text.lower())
     return SPACES.split(low) if any(c in low for c in ODD) else low.split()
 
 
+def one_word(unit: str) -> bool:
+    """Letters of Latin-1 only, which the tokenizer takes together."""
+    return unit.isalpha() and latin(unit)
+
+
 class Encoder:
     """Ids of texts as little-endian bytes.
 
@@ -57,6 +73,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.old = Tokenizer.from_file(path), {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(END)]] = True
 
     @classmethod
     @cache
@@ -64,6 +83,21 @@ class Encoder:
         """One encoder for all tasks of a Python worker."""
         return cls(path)
 
+    def _learn(self, new: list[str]) -> None:
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[u] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words, each of which the tokenizer takes as one: they are encoded as one text, and each ends with a closing id."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(ends) != len(words):
+            return self._learn(words)
+        whole = ids.tobytes()
+        self.known.update((w, whole[4 * a : 4 * b]) for w, a, b in zip(words, [0, *ends], ends))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > MEMORY_UNITS:  # units that were not met since the last time are forgotten
             self.known, self.old = {}, self.known
@@ -71,10 +105,10 @@ class Encoder:
         fresh = {u for us in cut for u in us if u not in self.known}
         self.known.update((u, old[u]) for u in fresh if u in old)
         new = [u for u in fresh if u not in old]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[u] = np.array(e.ids, "<u4").tobytes()
+        words = [u for u in new if one_word(u)]
+        for at in range(0, len(words), TOGETHER):
+            self._learn_words(words[at : at + TOGETHER])
+        self._learn([u for u in new if not one_word(u)])
         get = self.known.__getitem__
         return [b"".join(map(get, us)) for us in cut]
 
@@ -140,44 +174,47 @@ def best_fit(lengths: dict[int, int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(pool: Pool, room: int, depth: int = DEPTH, width: int = WIDTH) -> list[tuple[int, list[int]]]:
-    """Undominated ways to fill a room, the least waste first: (waste, lengths in descending order).
+def pairs(pool: Pool, room: int, width: int) -> list[list[int]]:
+    """The `width` pairs of pieces, the larger first, that leave the least of a room."""
+    order = np.array(pool.order[: bisect_right(pool.order, room)], np.int64)
+    at = np.minimum(np.searchsorted(order, room - order, "right"), np.arange(1, len(order) + 1)) - 1
+    at -= np.array([a == i and pool.count[x] == 1 for i, (a, x) in enumerate(zip(at.tolist(), order.tolist()))], np.int64)
+    fits = np.flatnonzero(at >= 0)
+    waste = room - order[fits] - order[at[fits]]
+    best = fits[np.lexsort((-order[fits], waste))[:width]]
+    return [[int(order[i]), int(order[at[i]])] for i in best]
+
 
-    A filling is dominated when one of its pieces could be swapped for a larger one that is left and still fits, or one
-    more piece fits; so each filling ends with the best fit of what is open, and only its larger pieces branch.
+def fillings(pool: Pool, room: int, width: int = WIDTH) -> list[tuple[int, list[int]]]:
+    """Undominated ways to fill a room, the least waste first: (waste, lengths in descending order), `width` at most.
+
+    A filling is dominated when one more piece fits, or one of its pieces could be swapped for a larger one that is left
+    and still fits. Tried are the best single piece, the best pairs, and the largest pieces with the best pairs beside
+    each; what is then open is closed by best fit.
     """
-    found: list[tuple[int, list[int]]] = []
-    seen: set[tuple[int, ...]] = set()
-
-    def grow(room: int, most: int, held: list[int], depth: int) -> None:
-        if found and found[0][0] == 0 and len(found) >= width:
-            return
-        one = pool.fit(min(room, most))
-        if not one or depth == 0:
-            tail, left, taken = [], room, []
-            while one := pool.fit(left):
-                pool.take(one)
-                taken.append(one)
-                tail.append(one)
-                left -= one
-            for one in taken:
-                pool.put(one)
-            key = tuple(sorted(held + tail, reverse=True))
-            if key not in seen:
-                seen.add(key)
-                found.append((left, list(key)))
-                found.sort(key=lambda f: (f[0], len(f[1])))
-            return
-        for _ in range(width):
+    starts: list[list[int]] = [[]]
+    starts += pairs(pool, room, width)
+    first = pool.fit(room)
+    for _ in range(width):
+        if not first:
+            break
+        pool.take(first)
+        starts += [[first, *p] for p in pairs(pool, room - first, width)]
+        pool.put(first)
+        first = pool.fit(first - 1)
+    found: dict[tuple[int, ...], int] = {}
+    for start in starts:
+        held, left = list(start), room - sum(start)
+        for x in start:
+            pool.take(x)
+        while one := pool.fit(left):
             pool.take(one)
-            grow(room - one, one, held + [one], depth - 1)
-            pool.put(one)
-            one = pool.fit(min(one - 1, most))
-            if not one:
-                break
-
-    grow(room, room, [], depth)
-    return found[:width]
+            held.append(one)
+            left -= one
+        for x in held:
+            pool.put(x)
+        found[tuple(sorted(held, reverse=True))] = left
+    return sorted(((w, list(f)) for f, w in found.items()), key=lambda f: (f[0], len(f[1]), f[1]))[:width]
 
 
 def lower_bound(lengths: dict[int, int], capacity: int) -> int:
@@ -196,57 +233,95 @@ def lower_bound(lengths: dict[int, int], capacity: int) -> int:
     return best
 
 
-def complete(lengths: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
-    """Bin completion: bins of lengths, as few as the search finds; best-fit packings are the incumbents."""
-    incumbent = best_fit(lengths, capacity)
-    least, total = lower_bound(lengths, capacity), sum(x * c for x, c in lengths.items())
-    budget = nodes
-    while len(incumbent) > least and budget > 0:
-        allowed = (len(incumbent) - 1) * capacity - total  # the waste of a packing with one bin less
-        pool, bins = Pool(lengths), []
-        stack: list[tuple[list[tuple[int, list[int]]], int]] = []
-        waste = 0
-        improved = False
-        while True:
-            if not pool.order:
-                improved = True
-                break
-            largest = pool.order[-1]
-            pool.take(largest)
-            ways = [(w, f) for w, f in fillings(pool, capacity - largest) if waste + w <= allowed]
-            pool.put(largest)
-            budget -= 1
-            if ways:
-                stack.append(([(w, [largest, *f]) for w, f in ways], 0))
-            else:
-                while stack and stack[-1][1] + 1 >= len(stack[-1][0]):  # undo bins whose fillings are all tried
-                    options, tried = stack.pop()
-                    for x in bins.pop():
-                        pool.put(x)
-                    waste -= options[tried][0]
-                if not stack or budget <= 0:
-                    break
-                options, tried = stack[-1]
-                for x in bins.pop():
-                    pool.put(x)
-                waste -= options[tried][0]
-                stack[-1] = (options, tried + 1)
-            options, tried = stack[-1]
-            bins.append(options[tried][1])
-            waste += options[tried][0]
-            for x in bins[-1]:
+def counts_of(lengths: list[int]) -> dict[int, int]:
+    values, counts = np.unique(np.array(lengths, np.int64), return_counts=True)
+    return dict(zip(values.tolist(), counts.tolist()))
+
+
+def dive(lengths: dict[int, int], capacity: int) -> list[list[int]]:
+    """Bin after bin: the largest piece left and the filling of least waste beside it."""
+    pool, bins = Pool(lengths), []
+    while pool.order:
+        largest = pool.order[-1]
+        pool.take(largest)
+        _, held = fillings(pool, capacity - largest)[0]
+        for x in held:
+            pool.take(x)
+        bins.append([largest, *held])
+    return bins
+
+
+def search(lengths: dict[int, int], capacity: int, most: int, nodes: int) -> tuple[list[list[int]] | None, int]:
+    """A packing in at most `most` bins, if `nodes` branches find one, and the branches tried. Depth first, the least waste first."""
+    allowed = most * capacity - sum(x * c for x, c in lengths.items())
+    pool, bins, tried = Pool(lengths), [], 0
+    if allowed < 0:
+        return None, 0
+    stack: list[Iterator[tuple[int, list[int]]]] = []
+    wasted: list[int] = []
+
+    def ways() -> Iterator[tuple[int, list[int]]]:
+        largest = pool.order[-1]
+        pool.take(largest)
+        found = [(w, [largest, *f]) for w, f in fillings(pool, capacity - largest)]
+        pool.put(largest)
+        return iter(found)
+
+    while pool.order:
+        if len(stack) == len(bins):
+            stack.append(ways())
+            tried += 1
+        way = next((w for w in stack[-1] if sum(wasted) + w[0] <= allowed), None)
+        if way and len(bins) < most:
+            for x in way[1]:
                 pool.take(x)
-        if not improved:
+            bins.append(way[1])
+            wasted.append(way[0])
+            continue
+        stack.pop()
+        if not stack or tried >= nodes:
+            return None, tried
+        for x in bins.pop():
+            pool.put(x)
+        wasted.pop()
+    return bins, tried
+
+
+def complete(lengths: dict[int, int], capacity: int = CAPACITY) -> list[list[int]]:
+    """Bin completion: bins of lengths, as few as the search finds; best-fit packings are the incumbents.
+
+    The branches that may be tried grow with the number of bins, so shards of every size are searched alike.
+    """
+    bins, least = best_fit(lengths, capacity), lower_bound(lengths, capacity)
+    if len(bins) > least:
+        bins = min(bins, dive(lengths, capacity), key=len)
+    budget, at = NODES_A_BIN * len(bins), 0
+    while len(bins) > least and budget > 0:
+        bins.sort(key=sum)  # the bins with the most waste first
+        window, room = [], 0
+        while at + len(window) < len(bins) and len(window) < WINDOW:
+            window.append(bins[at + len(window)])
+            room += capacity - sum(window[-1])
+            if room >= capacity and len(window) >= WINDOW // 4:
+                break
+        if room < capacity:  # no window from here on can lose a bin
             break
-        incumbent = bins
-    return incumbent
+        found, tried = search(counts_of([x for b in window for x in b]), capacity, len(window) - 1, min(budget, NODES_A_WINDOW))
+        budget -= max(1, tried)
+        if found:
+            bins[at : at + len(window)] = found
+            at = 0
+        else:
+            at += len(window) // 2
+    return bins
 
 
 def pack(found: DataFrame, capacity: int = CAPACITY, shard_documents: int = SHARD) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, length of 1 to capacity, more columns).
 
-    Sequences have no gaps and no piece is dropped; pieces of one length are exchangeable. Rows with a null doc_id share
-    a shard. The number of shards follows from the number of documents' last pieces.
+    Sequences have no gaps and no piece is dropped; pieces of one length are exchangeable. Rows are dealt by their place in
+    `found`, which has to be a written table, so that a doc_id on many rows is in many shards. The number of shards follows
+    from the number of documents' last pieces.
     """
     shards = shards_for(found.where(f"length < {capacity}").count(), shard_documents)
 
@@ -254,10 +329,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard_documents: int = SHAR
         shard = int(pdf["_shard"].iloc[0])
         pdf = pdf.drop(columns="_shard").reset_index(drop=True)
         lengths = pdf["length"].to_numpy()
-        values, counts = np.unique(lengths, return_counts=True)
-        full = dict(zip(values.tolist(), counts.tolist()))
-        whole = full.pop(capacity, 0)
-        bins = complete(full, capacity) + [[capacity]] * whole
+        bins = complete(counts_of(lengths), capacity)
         placed = np.array([(x, s, o) for s, held in enumerate(bins) for x, o in zip(held, np.cumsum([0, *held[:-1]]).tolist())], np.int64).reshape(-1, 3)
         placed = placed[np.argsort(placed[:, 0], kind="stable")]
         mine = np.argsort(lengths, kind="stable")
@@ -265,11 +337,13 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard_documents: int = SHAR
         out[mine] = placed[:, 1:]
         return pdf.assign(sequence_id=(shard << 32) + out[:, 0], offset=out[:, 1])
 
-    kind = found.schema["doc_id"].dataType
-    dealt = found.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).withColumn("doc_id", F.col("doc_id").cast("string"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.drop("_shard").schema)
+    kind, row = found.schema["doc_id"].dataType, F.monotonically_increasing_id()
+    whole = found.where(f"length >= {capacity}").withColumns({"sequence_id": F.lit(1 << 62) + row, "offset": F.lit(0).cast("long")})
+    rest = found.where(f"length < {capacity}").withColumn("doc_id", F.col("doc_id").cast("string"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
+    dealt = rest.withColumn("_shard", F.pmod(F.xxhash64(row), F.lit(shards)).cast("int"))
     placed = dealt.groupBy("_shard").applyInPandas(place, f"{fields}, sequence_id long, offset long")
-    return placed.withColumn("doc_id", F.col("doc_id").cast(kind))
+    return placed.withColumn("doc_id", F.col("doc_id").cast(kind)).unionByName(whole)
 
 
 def pack_documents(docs: DataFrame, model: str = MODEL, capacity: int = CAPACITY) -> DataFrame:
