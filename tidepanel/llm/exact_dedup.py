@@ -3,15 +3,18 @@
 1. Each input partition signs its texts: 64 bits to compare, SHA-256 to name a text. The signatures are written once.
 2. Each partition deals its distinct 64-bit values to their owners (ranges of the value) as sorted Golomb-Rice codes.
 3. An owner sends back to each partition a bitmap of the values that another partition holds too.
-4. Values that the bitmap marks, or that the partition holds twice, are suspects. Only texts of suspects are grouped,
-   by their bytes. Partial aggregation collapses a hot text in each task before the shuffle.
+4. Values that the bitmap marks, or that the partition holds twice, are suspects. Their hashes set marks in a table of
+   bits, and only texts whose hash is marked are shuffled: they are grouped by their bytes. Partial aggregation collapses a
+   hot text in each task before the shuffle.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .codes import pack_bits, rice_decode, rice_encode, unpack_bits
@@ -19,12 +22,21 @@ from .common import ascii_lower, documents, durable, shards_for, text_of
 
 #: Hashes that one owner compares in one task.
 OWNER_HASHES = 2_000_000
+#: Bits for each marked hash, all bits at most (32 MB, which is what a broadcast of them may take), and bits of one row.
+BITS_EACH, MOST_BITS, CHUNK = 16, 1 << 28, 1 << 15
+#: Groups of more than this share of the rows are hot; there are at most as many of them.
+HOT_SHARE = 1000
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """src, doc_id, h, text_sha256 of each row."""
+def signed_columns() -> list[Column]:
+    """src (the input partition), h and text_sha256 of a row's normalised text."""
     norm = ascii_lower(text_of())
-    return docs.select(F.spark_partition_id().alias("src"), "doc_id", F.xxhash64(norm).alias("h"), F.sha2(norm, 256).alias("text_sha256"))
+    return [F.spark_partition_id().alias("src"), F.xxhash64(norm).alias("h"), F.sha2(norm, 256).alias("text_sha256")]
+
+
+def signatures(docs: DataFrame) -> DataFrame:
+    """src, h, text_sha256, doc_id of each row."""
+    return docs.select(*signed_columns(), "doc_id")
 
 
 def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,9 +51,41 @@ def _cuts(values: np.ndarray, owners: int) -> np.ndarray:
     return np.searchsorted(values, np.array([step * i for i in range(owners)], np.uint64)).tolist() + [len(values)]
 
 
-def suspects(signed: DataFrame) -> DataFrame:
-    """The distinct text_sha256 whose 64-bit hash occurs in more than one row."""
-    owners = shards_for(signed.count(), OWNER_HASHES)
+@dataclass
+class Marks:
+    """Bits that marked hashes have set, in rows (_chunk, _bits) of CHUNK bits; another hash has its bit set by chance only."""
+
+    rows: DataFrame
+    bits: int
+
+    def _met(self, rows: DataFrame) -> tuple[DataFrame, Column]:
+        at = F.pmod(F.col("h"), F.lit(self.bits))
+        met = rows.withColumn("_at", F.pmod(at, F.lit(CHUNK))).join(F.broadcast(self.rows), F.floor(at / CHUNK) == F.col("_chunk"), "left")
+        byte = F.conv(F.hex(F.substring("_bits", (F.floor(F.col("_at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+        return met, F.col("_bits").isNotNull() & (F.getbit(F.coalesce(byte, F.lit(0).cast("long")), (F.col("_at") % 8).cast("int")) == 1)
+
+    def passing(self, rows: DataFrame) -> DataFrame:
+        """The rows (h, more columns) whose hash may be marked: all that are, and few others."""
+        met, hit = self._met(rows)
+        return met.where(hit).drop("_at", "_chunk", "_bits")
+
+    def failing(self, rows: DataFrame) -> DataFrame:
+        met, hit = self._met(rows)
+        return met.where(~hit).drop("_at", "_chunk", "_bits")
+
+
+def marks(hashes: DataFrame, n: int) -> Marks:
+    """Marks of n hashes (h). Beyond MOST_BITS / BITS_EACH of them more others pass, which costs time and changes nothing."""
+    bits = CHUNK
+    while bits < min(BITS_EACH * n, MOST_BITS):
+        bits *= 2
+    at = F.pmod(F.col("h"), F.lit(bits))
+    return Marks(hashes.groupBy(F.floor(at / CHUNK).alias("_chunk")).agg(F.bitmap_construct_agg(F.pmod(at, F.lit(CHUNK))).alias("_bits")), bits)
+
+
+def suspects(signed: DataFrame, n: int) -> DataFrame:
+    """The distinct h, text_sha256 of the rows, n in number, whose 64-bit hash occurs in more than one of them."""
+    owners = shards_for(n, OWNER_HASHES)
 
     def send(pdf: pd.DataFrame) -> pd.DataFrame:
         values, _ = _counted(pdf["h"].to_numpy())
@@ -62,20 +106,33 @@ def suspects(signed: DataFrame) -> DataFrame:
         for o, blob in zip(marks["owner"], marks["marks"]):
             flags[cuts[o] : cuts[o + 1]] |= unpack_bits(blob, cuts[o + 1] - cuts[o])
         hit = flags[np.searchsorted(values, mine["h"].to_numpy().astype(np.int64).view(np.uint64))]
-        return mine.loc[hit, ["text_sha256"]].drop_duplicates()
+        return mine.loc[hit, ["h", "text_sha256"]].drop_duplicates()
 
     sent = signed.select("src", "h").groupBy("src").applyInPandas(send, "src int, owner int, code binary")
     marks = sent.groupBy("owner").applyInPandas(mark, "src int, owner int, marks binary")
-    return signed.select("src", "h", "text_sha256").groupBy("src").cogroup(marks.groupBy("src")).applyInPandas(pick, "text_sha256 string").distinct()
+    return signed.select("src", "h", "text_sha256").groupBy("src").cogroup(marks.groupBy("src")).applyInPandas(pick, "h long, text_sha256 string").distinct()
 
 
-def duplicate_groups(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """text_sha256, keep_id, group_size of each group of equal texts, grouped by the texts' bytes."""
-    norm = ascii_lower(text_of())
-    texts = docs.select("doc_id", norm.alias("norm")).withColumn("text_sha256", F.sha2("norm", 256))
-    members = texts.join(suspects(signed), "text_sha256", "left_semi")
+def duplicate_groups(texts: DataFrame, signed: DataFrame, n: int) -> DataFrame:
+    """h, text_sha256, keep_id, group_size of each group of equal texts (doc_id, text, h), grouped by the normalised texts' bytes.
+
+    signed has their n signatures. Texts that pass by chance are alone in their group. A written table.
+    """
+    found = durable(suspects(signed, n))
+    members = marks(found, found.count()).passing(texts).select("doc_id", ascii_lower(F.col("text")).alias("norm"))
     groups = members.groupBy("norm").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    return groups.where("group_size > 1").select(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
+    return durable(groups.where("group_size > 1").select(F.xxhash64("norm").alias("h"), F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"))
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
+    """rows (text_sha256, more) with keep_id and group_size of their group, or nulls; n is the number of all documents.
+
+    Groups of more than a HOT_SHARE-th of the documents, HOT_SHARE at most, are broadcast, so no task gets their rows.
+    """
+    hot = groups.where(F.col("group_size") * HOT_SHARE > n).select("text_sha256", "keep_id", "group_size")
+    cold = groups.where(F.col("group_size") * HOT_SHARE <= n).select("text_sha256", "keep_id", "group_size")
+    met = rows.join(F.broadcast(hot), "text_sha256", "left")
+    return met.where("group_size IS NOT NULL").unionByName(met.where("group_size IS NULL").drop("keep_id", "group_size").join(cold, "text_sha256", "left"))
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
@@ -86,25 +143,30 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     loses to any other. An empty table gives an empty result.
     """
     signed = durable(signatures(docs))
-    return (
-        signed.join(duplicate_groups(docs, signed), "text_sha256", "left")
-        .select("doc_id", F.coalesce("keep_id", "doc_id").alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), "text_sha256")
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
-    )
+    n = signed.count()
+    texts = docs.select("doc_id", text_of().alias("text"), F.xxhash64(ascii_lower(text_of())).alias("h"))
+    found = with_groups(signed.select("doc_id", "text_sha256"), duplicate_groups(texts, signed, n), n)
+    return found.select(
+        "doc_id", F.coalesce("keep_id", "doc_id").alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        (F.col("group_size").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "text_sha256",
+    )
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns.
+    """The rows of docs that stay, with all their columns, by the rules of `exact_dedup`; null texts are empty texts.
 
-    Groups are joined to the documents by SHA-256; a document in no group stays. Rows that repeat both doc_id and text
-    stay together.
+    The documents are written with their signatures once. Texts without a mark of a group stay where they are; the others
+    meet their groups by SHA-256. Rows that repeat both
+    doc_id and text stay together. An empty table gives an empty result.
     """
-    signed = durable(signatures(docs))
-    groups = durable(duplicate_groups(docs, signed)).select(F.col("text_sha256").alias("_tide_group"), F.col("keep_id").alias("_tide_keep"))
-    sha = F.sha2(ascii_lower(text_of()), 256)
-    joined = docs.withColumn("_tide_sha", sha).join(groups, F.col("_tide_sha") == F.col("_tide_group"), "left")
-    return joined.where(F.col("_tide_group").isNull() | F.col("doc_id").eqNullSafe(F.col("_tide_keep"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    named = [F.col(f"`_doc_{c}`").alias(c) for c in docs.columns]
+    rows = durable(docs.select(*[F.col(f"`{c}`").alias(f"_doc_{c}") for c in docs.columns], *signed_columns()))
+    n = rows.count()
+    texts = rows.select(F.col("_doc_doc_id").alias("doc_id"), text_of("_doc_text").alias("text"), "h")
+    groups = duplicate_groups(texts, rows.select("src", "h", "text_sha256"), n)
+    marked = marks(groups, groups.count())
+    kept = with_groups(marked.passing(rows), groups, n).where(F.col("group_size").isNull() | F.col("_doc_doc_id").eqNullSafe(F.col("keep_id")))
+    return marked.failing(rows).select(*named).unionByName(kept.select(*named))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
