@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .common import WORD, documents, durable, shards_for, text_of
 
 LEAF = 48
+#: Rows that repeat one document and are numbered in one task.
+PART_ROWS = 100_000
 #: A probability this near 0 or 1 is whole.
 NEAR = 1e-9
 
@@ -94,10 +96,11 @@ def round_fractions(units: DataFrame, key: str, largest: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, cap: float = 3.0) -> DataFrame:
-    """source, doc_id, text_hash, rows, size, source_size, target, copies: how often each document is taken.
+    """source, doc_id, text_hash, rows, size, source_size, target, base, extra: how often each document is taken.
 
     docs: doc_id, text, source; more columns are ignored. Size is the number of words; null texts have none. Rows that
-    agree in source, doc_id and text (rows counts them) are taken equally often. Documents without words are rounded by
+    agree in source, doc_id and text (rows counts them) are each taken base times, and `extra` of them once more: what the
+    rows ask for together in whole copies, and at most one that the rounding adds. Documents without words are rounded by
     a draw of their own. A source without words has the target 0. An empty table gives an empty result.
     """
     text = text_of()
@@ -112,28 +115,54 @@ def mix(docs: DataFrame, cap: float = 3.0) -> DataFrame:
     wanted = durable(source_targets(sizes.select("source", "source_size"), cap).join(sizes.select(F.col("source").alias("_s"), "n"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
     largest = wanted.agg(F.max("n")).first()[0] or 0
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    asked = F.greatest(rate - F.col("base"), F.lit(0.0)) * F.col("rows")
     all_units = (
         units.join(wanted.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
         .drop("_s")
         .withColumn("base", F.floor(rate + NEAR))
-        .withColumn("p", F.greatest(rate - F.col("base"), F.lit(0.0)))
+        .withColumn("whole", F.floor(asked + NEAR))
+        .withColumn("p", F.greatest(asked - F.col("whole"), F.lit(0.0)))
         .withColumn("rank", F.xxhash64("doc_id", "text_hash"))
-        .withColumn("s", (F.col("size") * F.col("rows")).cast("double"))
+        .withColumn("s", F.col("size").cast("double"))
     )
     free = (F.col("s") > 0) & (F.col("p") > NEAR)
     alone = all_units.where(~free).withColumn("p", F.when(F.col("p") > NEAR, (_draw(F.lit("empty"), F.col("rank")) < F.col("p")).cast("double")).otherwise(0.0))
     rounded = round_fractions(all_units.where(free), "source", largest) if largest else all_units.where(free)
-    return rounded.unionByName(alone).withColumn("copies", (F.col("base") + F.col("p")).cast("long")).select("source", "doc_id", "text_hash", "rows", "size", "source_size", "target", "copies")
+    return rounded.unionByName(alone).select("source", "doc_id", "text_hash", "rows", "size", "source_size", "target", "base", (F.col("whole") + F.col("p").cast("long")).alias("extra"))
 
 
 def mixed_documents(docs: DataFrame, cap: float = 3.0) -> DataFrame:
-    """The mix itself: each row of docs as often as it is taken, with all its columns."""
-    taken = mix(docs, cap).where("copies > 0").select(F.col("source").alias("_tide_s"), F.col("doc_id").alias("_tide_d"), F.col("text_hash").alias("_tide_h"), F.col("copies").alias("_tide_n"))
+    """The mix itself: each row of docs as often as it is taken, with all its columns.
+
+    Null texts are empty and are taken as documents without words; an empty table gives an empty result. Of rows that
+    agree in source, doc_id and text the first few, by their place in docs, are those taken once more.
+    """
+    taken = durable(mix(docs, cap).where("base + extra > 0"))
+    own = taken.select(F.col("source").alias("_tide_s"), F.col("doc_id").alias("_tide_d"), F.col("text_hash").alias("_tide_h"), F.col("base").alias("_tide_b"), F.col("extra").alias("_tide_e"), F.col("rows").alias("_tide_r"))
     same = F.col("doc_id").eqNullSafe(F.col("_tide_d")) & F.col("source").eqNullSafe(F.col("_tide_s")) & (F.xxhash64(text_of()) == F.col("_tide_h"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(taken, same).withColumn("_tide_copy", F.explode(F.sequence(F.lit(1), F.col("_tide_n").cast("int")))).select(*names)
+    names, met = [F.col(f"`{c}`") for c in docs.columns], docs.join(own.hint("merge"), same)  # both grow alike
+    single = met.where("_tide_r = 1").withColumn("_tide_n", F.col("_tide_b") + F.col("_tide_e")).select(*names, "_tide_n")
+    most = taken.agg(F.max("rows")).first()[0] or 0
+    both = single.unionByName(_numbered(met.where("_tide_r > 1"), most).select(*names, "_tide_n")) if most > 1 else single
+    return both.where("_tide_n > 0").withColumn("_tide_copy", F.explode(F.sequence(F.lit(1), F.col("_tide_n").cast("int")))).select(*names)
+
+
+def _numbered(met: DataFrame, most: int) -> DataFrame:
+    """Rows that repeat, with _tide_n: within parts, dealt evenly, they are numbered, so that no task gets all of a hot document's."""
+    again = met.withColumn("_tide_at", F.monotonically_increasing_id())
+    again = durable(again.withColumn("_tide_part", F.pmod("_tide_at", F.lit(shards_for(most, PART_ROWS)))))
+    key = ["_tide_s", "_tide_d", "_tide_h"]
+    parts = again.groupBy(*key, "_tide_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*key).orderBy("_tide_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = parts.select(*[F.col(k).alias(f"{k}_") for k in key], F.col("_tide_part").alias("_tide_part_"), before.alias("_tide_before"))
+    same = F.col("_tide_part") == F.col("_tide_part_")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    number = F.col("_tide_before") + F.row_number().over(Window.partitionBy(*key, "_tide_part").orderBy("_tide_at")) - 1
+    return again.join(offsets, same).withColumn("_tide_n", F.col("_tide_b") + (number < F.col("_tide_e")).cast("long"))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    found = mix(documents(spark, sf_dir)).withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    found = mix(documents(spark, sf_dir)).withColumn("_row", F.explode(F.sequence(F.lit(0), F.col("rows").cast("int") - 1)))
+    copies = F.col("base") + (F.col("_row") < F.col("extra")).cast("long")
+    return found.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"))
