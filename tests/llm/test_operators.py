@@ -72,6 +72,29 @@ def test_exact_dedup(docs, empty, values):
     stay = exact_dedup.drop_exact_duplicates(docs)
     assert stay.columns == docs.columns and stay.count() == sum(r[3] for r in want)
     assert exact_dedup.exact_dedup(empty).count() == 0 and exact_dedup.drop_exact_duplicates(empty).count() == 0
+    alone = docs.where("doc_id IN (0, 1, 4)")  # no suspects
+    assert exact_dedup.exact_dedup(alone).where("kept AND group_size = 1").count() == 3 and exact_dedup.drop_exact_duplicates(alone).count() == 3
+
+
+def test_marks_let_all_marked_hashes_through(spark):
+    hashes = spark.range(-500, 500).select(F.xxhash64("id").alias("h"))
+    marks = exact_dedup.marks(hashes, 1000)
+    assert marks.rows.count() <= marks.bits // exact_dedup.CHUNK
+    assert marks.passing(hashes).count() == 1000 and marks.failing(hashes).count() == 0
+    others = spark.range(10_000, 30_000).select(F.xxhash64("id").alias("h"))
+    assert marks.passing(others).count() + marks.failing(others).count() == 20_000 and marks.passing(others).count() < 4000
+    none = exact_dedup.marks(hashes.limit(0), 0)
+    assert none.passing(hashes).count() == 0 and none.failing(hashes).count() == 1000
+
+
+def test_a_hot_group_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", 10)
+    texts = [(i, "Same TEXT" if i % 3 == 0 else f"text {i % 700}") for i in range(1000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in exact_dedup.exact_dedup(docs).collect()}
+    assert len(got) == 1000 and got[3].keep_id == 999 and got[3].group_size == 334
+    assert sum(r.kept for r in got.values()) == len({t for _, t in texts})
+    assert exact_dedup.drop_exact_duplicates(docs).count() == len({t for _, t in texts})
 
 
 def test_simhash_links(docs, empty, values):
@@ -191,6 +214,53 @@ def test_chunk_dedup(docs, empty, values):
     assert chunk_dedup.chunk_dedup(empty).count() == 0
 
 
+def plain_chunks(data):
+    """Ends of the chunks, byte by byte."""
+    out, start, last, ends = [], 0, 0, []
+    for i in range(len(data)):
+        h = sum(int(chunk_dedup.GEAR[data[i - k]]) << k for k in range(min(32, i + 1))) % (1 << 32)
+        if h >> (32 - chunk_dedup.BITS) == 0:
+            ends.append(i + 1)
+    for end in [*ends, len(data)]:
+        if end - start < chunk_dedup.LEAST and end != len(data):
+            continue
+        while end - start > chunk_dedup.MOST:
+            start += chunk_dedup.MOST
+            out.append(start)
+        if end > start:
+            out.append(end)
+            start = end
+    return out
+
+
+@pytest.mark.parametrize("least_run", [0, 64])
+def test_chunk_dedup_against_plain_python(docs, values, least_run, spark):
+    few = [(i, t) for i, t in values if len(t or "") < 2500] + [(2, "A text of its own that shares nothing with the other row of its id. " * 3), (2, values[30][1])]
+    table = spark.createDataFrame(few, "doc_id long, text string").repartition(3)
+    first, cut = {}, []
+    for i, t in few:
+        data, at, mine = (t or "").encode(), 0, []
+        for end in plain_chunks(data):
+            chunk = data[at:end]
+            mine.append((at, end, chunk))
+            if i is not None:
+                first[chunk] = min(i, first.get(chunk, i))
+            at = end
+        cut.append((i, data, mine))
+    want = Counter()
+    for i, data, mine in cut:
+        gone = []
+        for a, b, chunk in mine:
+            if i is not None and first[chunk] < i:
+                gone = [*gone[:-1], (gone[-1][0], b)] if gone and gone[-1][1] == a else [*gone, (a, b)]
+        gone = [(a, b) for a, b in gone if b - a >= least_run or b - a == len(data)]
+        kept, at = b"", 0
+        for a, b in gone:
+            kept, at = kept + data[at:a], b
+        want[(i, len(data), sum(b - a for a, b in gone), len(gone), hashlib.sha256(kept + data[at:]).hexdigest())] += 1
+    assert Counter(tuple(r) for r in chunk_dedup.chunk_dedup(table, least_run).collect()) == want
+
+
 def test_token_counts(docs, empty, values):
     model = token_counts.load(token_counts.model_path(token_counts.MODEL))
     want = Counter((i, len((t or "").encode()), len(model.encode(t or "")), len(model.encode(t or "")) > 4096) for i, t in values)
@@ -230,10 +300,23 @@ def test_packing(docs, empty, values):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_a_hot_doc_id_is_in_all_shards(spark, tmp_path):
+    rows = [(7 if i % 3 == 0 else i, 0, 0, 10 + i % 40, 1) for i in range(900)] + [(7, p, 0, 64, 1) for p in range(50)]
+    spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(4).write.parquet(str(tmp_path / "p"))
+    got = packing.pack(spark.read.parquet(str(tmp_path / "p")), capacity=64, shard_documents=100).collect()
+    assert sorted((r.doc_id, r.piece, r.length) for r in got) == sorted((r[0], r[1], r[3]) for r in rows)
+    shards = Counter(r.sequence_id >> 32 for r in got if r.doc_id == 7 and r.length < 64)
+    assert len(shards) == 9 and max(shards.values()) < 60
+    used = Counter()
+    for r in got:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 64
+
+
 def test_units_have_the_ids_of_whole_texts():
     encoder = packing.Encoder(token_counts.model_path(packing.MODEL))
-    rng, odd = random.Random(7), [" ", "a", "B", "\n", "É", "<|endoftext|>", "'s", "the", "́", "日本", ".", ",", "'", "\x1c", "Σ", "ÿ", "\xa0", "It's,", "2"]
-    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    rng, odd = random.Random(7), [" ", "a", "B", "\n", "É", "<|endoftext|>", "'s", "the", "́", "日本", ".", ",", "'", "\x1c", "Σ", "ÿ", "\xa0", "It's,", "2", "&&", "%", "(", "[\\", "]_", "-", "#{|", "fox", "º", "µ"]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(14))) for _ in range(6000)]
     assert encoder.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -269,6 +352,12 @@ def test_bin_completion_is_no_worse_than_best_fit_and_mostly_optimal():
         optimal += len(got) == fewest(pieces, 100)
     assert optimal >= 39
     assert packing.complete({}, 100) == []
+    lengths = Counter(np.random.default_rng(3000).integers(500, 1501, 3000).tolist())
+    bins, least, plain = packing.complete(lengths), packing.lower_bound(lengths, 2048), len(packing.best_fit(lengths, 2048))
+    assert Counter(x for b in bins for x in b) == lengths and max(map(sum, bins)) <= 2048
+    assert len(bins) - least <= (plain - least) // 2
+    found, _ = packing.search(Counter([6, 5, 5, 4]), 10, 2, 100)
+    assert sorted(map(sorted, found)) == [[4, 6], [5, 5]] and packing.search(Counter([6, 6]), 10, 1, 100)[0] is None
     # best fit needs three bins here, bin completion two
     assert len(packing.complete(dict(Counter([51, 27, 22, 40, 30, 30])), 100)) == 2
 
@@ -288,17 +377,31 @@ def test_mixing(docs, empty, values, spark):
     for s in sizes:
         mine = [r for r in got if r.source == s]
         assert mine[0].target == pytest.approx(target[s])
-        assert abs(sum(r.copies * r.size * r.rows for r in mine) - target[s]) <= max(r.size * r.rows for r in mine)
-    assert all(0 <= r.copies <= 3 for r in got) and sum(r.rows for r in got) == len(values)
+        assert abs(sum((r.base * r.rows + r.extra) * r.size for r in mine) - target[s]) <= max(r.size for r in mine)
+    assert all(0 <= r.extra <= r.rows and 0 <= r.base + (r.extra > 0) <= 3 for r in got) and sum(r.rows for r in got) == len(values)
     again = Counter(tuple(r) for r in mixing.mix(docs.repartition(5)).collect())
     assert again == Counter(tuple(r) for r in got)
     mixed = mixing.mixed_documents(docs)
-    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies * r.rows for r in got)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r.base * r.rows + r.extra for r in got)
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
     capped = mixing.source_targets(spark.createDataFrame([("a", 1), ("b", 1), ("c", 100), (None, 0)], "source string, source_size long")).collect()
     assert {r.source: r.target for r in capped} == pytest.approx({"a": 3, "b": 3, "c": 96, None: 0})
 
 
+def test_mixing_of_a_row_on_a_third_of_the_table(spark, monkeypatch):
+    """Ten words a row; 300 rows are one document. Its source's words come as near the target as one row's size."""
+    monkeypatch.setattr(mixing, "PART_ROWS", 40)
+    rows = [(7, "w " * 10, "a", i) for i in range(300)] + [(1000 + i, f"{i} " * 10, "ab"[i % 2], i) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, place int").repartition(7)
+    got = mixing.mix(docs).collect()
+    for s, target in (("a", 3000.0), ("b", 6000.0)):
+        mine = [r for r in got if r.source == s]
+        assert {r.target for r in mine} == {target} and abs(sum((r.base * r.rows + r.extra) * r.size for r in mine) - target) <= 10
+    mixed = Counter(r.place for r in mixing.mixed_documents(docs).where("doc_id = 7").collect())
+    hot = next(r for r in got if r.doc_id == 7)
+    assert sum(mixed.values()) == hot.base * 300 + hot.extra and max(mixed.values()) == 1 and hot.extra == 150
+
+
 def test_fingerprints(docs, empty, values, spark):
     got = fingerprints.document_fingerprints(docs).collect()
     order = sorted(values, key=lambda v: (v[0] is not None, v[0] or 0, v[1] or ""), reverse=True)

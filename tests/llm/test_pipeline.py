@@ -35,7 +35,21 @@ def test_stages(spark, tmp_path):
     assert sorted(i for i, _ in stage[2]) == sorted(best.values())
     near = simhash.near_dedup(seen[2]).collect()
     assert sorted(i for i, _ in stage[3]) == sorted({r.component_id for r in near}) and not {2000, 2001} <= {i for i, _ in stage[3]}
-    copies = {r.doc_id: r.copies for r in mixing.mix(seen[3]).collect()}
+    copies = {r.doc_id: r.base + r.extra for r in mixing.mix(seen[3]).collect()}
     assert sorted(i for i, _ in stage[4]) == sorted(i for i, n in copies.items() for _ in range(n))
     assert seen[5].count() == packing.pieces(seen[4]).count()
     assert corpus_pipeline.run(spark, d).count() == seen[5].count()
+
+
+def test_run_on_odd_tables(spark, tmp_path):
+    """Null and empty texts, repeated doc_ids, null sources, and empty tables."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rng = random.Random(3)
+    rows = [(i % 40, prose(rng, 20 + i), None, None if i % 5 else "s", None) for i in range(60)] + [(90, None, "en", "s", 0), (91, "", "en", None, 0), (None, prose(rng, 30), "en", "s", 1)]
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(90, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for name, table, known in (("odd", rows, marks), ("empty", [], marks), ("unmarked", rows, marks.limit(0))):
+        d = tmp_path / name
+        spark.createDataFrame(table, schema).write.parquet(str(d / "documents.parquet"))
+        known.write.parquet(str(d / "labels.parquet"))
+        got = corpus_pipeline.run(spark, str(d)).collect()
+        assert bool(got) == bool(table) and all(r.length >= 1 and r.offset >= 0 for r in got)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import written
+
 #: Words are runs of anything but space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -32,21 +32,9 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Only where a session names none (tests) a temporary one is set."""
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidepanel-"))
-        folder = context.getCheckpointDir()
-    return folder
-
-
 def durable(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it again: lineage ends here, and a lost executor costs nothing."""
-    path = f"{shared_folder(df.sparkSession)}/tidepanel-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df)
 
 
 def shards_for(amount: float, each: float) -> int:

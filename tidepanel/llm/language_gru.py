@@ -25,6 +25,7 @@ from .common import documents, held_out, text_of
 HIDDEN, WINDOW = 16, 32
 #: Documents of each language that the network is fitted to, steps, and units of a step.
 FIT_DOCUMENTS, FIT_STEPS, BATCH, RATE = 400, 1500, 192, 0.01
+SPARE = 4
 #: Units whose sums a task remembers, units that run together, and characters that are cut at once.
 MEMORY_UNITS, TOGETHER, STRETCH = 500_000, 2048, 1 << 20
 #: The answer for a text without a letter, or where nothing was learnt.
@@ -265,8 +266,13 @@ def sample(docs: DataFrame, each: int = FIT_DOCUMENTS) -> tuple[list[str], list[
     Of rows that share doc_id and lang the least text is taken. Rows are the same on each run.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    order = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    picked = known.select("doc_id", "lang").distinct().withColumn("_h", F.xxhash64("doc_id", "lang")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= each)
+    keys = known.select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_h"))
+    # The least hashes are looked for among a share of each lang that holds some SPARE times as many as are wanted, so that no
+    # task gets a lang's rows; where a lang has fewer, the share is all of it.
+    counts = keys.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("_n"))
+    share = F.pmod(F.col("_h"), F.lit(1 << 40)) * F.col("_n").cast("double") < SPARE * each * float(1 << 40)
+    few = keys.join(F.broadcast(counts), "lang").where(share).select("doc_id", "lang", "_h").distinct()  # a row for each lang
+    picked = few.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id"))).where(F.col("_r") <= each)
     # At most `each` rows for each language, narrow ones.
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(picked.select("doc_id", "lang", "_h")), ["doc_id", "lang"])
     found = rows.groupBy("lang", "_h", "doc_id").agg(F.min("text").alias("text")).toPandas().sort_values(["lang", "_h", "doc_id"])
