@@ -21,6 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def fresh_path(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/tidepanel-{uuid.uuid4().hex}"
 

@@ -2,27 +2,77 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+#: Holds a malformed line as it stands.
+BROKEN = "_tide_broken"
+
+
+def _header(spark: SparkSession, file: str) -> list[str]:
+    """The column names in the first line of a CSV file, of which no more than a buffer is read; none where it is empty."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return next(csv.reader([line.removeprefix("\ufeff")]), []) if line else []
+
+
+def _by_header(spark: SparkSession, path: str | list[str], columns: list[str]) -> list[tuple[list[str], list[str]]]:
+    """The files of path (files, folders, patterns) by the header they share, each as (header, files)."""
+    files = [unquote(f) for f in spark.read.text(path).inputFiles()]
+    if not files:
+        raise FileNotFoundError("no file to read")
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        if lost := [c for c in columns if c not in header]:
+            raise ValueError(f"{file} has no column {', '.join(lost)}")
+        if len(set(header)) < len(header):
+            raise ValueError(f"{file} repeats a column name")
+        found.setdefault(tuple(header), []).append(file)
+    return [(list(header), sorted(files)) for header, files in sorted(found.items())]
+
+
+def _csv(spark: SparkSession, path: str | list[str], columns: list[str], more: list[str]) -> DataFrame:
+    """One scan for each header: the named columns, and those of `more`. Fields are only counted where none is skipped."""
+    parts = []
+    for header, files in _by_header(spark, path, columns):
+        schema = StructType([StructField(c, StringType()) for c in [*header, *more]])
+        parts.append(spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", not more).csv(files).select(*columns, *more))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def csv_columns(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
     """The named columns of CSV files with headers, all text. Columns are found by name; a missing one is an error.
 
-    With several files each is read by its own header, so their columns may stand in any order.
+    Each file is read by its own header, so columns may stand in any order; all files of one header are one scan. What a
+    short line lacks is null, and what a long one has beyond the header is left out: `csv_routes` sets both apart.
     """
-    parts = []
-    for one in [path] if isinstance(path, str) else sorted(path):
-        rows = spark.read.option("header", True).csv(one)
-        if lost := [c for c in columns if c not in rows.columns]:
-            raise ValueError(f"{one} has no column {', '.join(lost)}")
-        parts.append(rows.select(*columns))
-    if not parts:
-        raise FileNotFoundError("no file to read")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return _csv(spark, path, columns, [])
+
+
+def csv_routes(spark: SparkSession, path: str | list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of `csv_columns` whose lines have as many fields as their header, and the lines of the others, as `line`.
+
+    A quote that is left open takes the fields after it into one, so such a line is malformed too, unless it is its last field
+    that opens it: that one then begins with the quote. Empty lines are no rows.
+    """
+    # Spark reads no file for BROKEN alone, so a column goes with it: a length is never negative.
+    rows = _csv(spark, path, columns, [BROKEN]).where(F.coalesce(F.length(columns[0]), F.lit(0)) >= 0)
+    return rows.where(F.col(BROKEN).isNull()).drop(BROKEN), rows.where(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("line"))
 
 
 def typed(rows: DataFrame, number: str, quarantine: bool = False) -> tuple[DataFrame, DataFrame | None]:

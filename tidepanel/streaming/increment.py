@@ -12,13 +12,12 @@ from pyspark.sql.types import StructType
 
 from ..operators.quality import GateError
 from ..sources.landing import AUDIT, append, land, unprocessed
+from ..sources.staging import exists
 
 
 def audited(spark: SparkSession, path: str) -> DataFrame:
     """The audit table, empty where there is none yet."""
-    if spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], AUDIT)
+    return spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], AUDIT)
 
 
 def process_months(spark: SparkSession, months: list[str], batch_of: Callable[[str], DataFrame], month_column: str, table: str, audit: str, stop: bool = True) -> list[str]:
