@@ -330,6 +330,19 @@ def test_models_beat_the_base_rate_and_contributions_add_up(spark):
         assert r["_sum"] == pytest.approx(math.log(r.score / (1 - r.score)) - math.log(p0 / (1 - p0)), abs=1e-6)
 
 
+@pytest.mark.parametrize("columns", [["time_since", "rate_filled"], model.HISTORY])
+def test_shares_of_trees_by_their_paths_are_the_exact_ones(spark, columns):
+    frame = model.model_frame(planted(spark))
+    bundle = model.train(frame, columns, lambda n: model.trees(rounds=6))
+    risk = model.at_risk(frame)
+    exact = {r.entity: r for r in model.contributions(bundle, risk, frame, ["entity"]).collect()}
+    got = model.tree_contributions(bundle, risk, frame, ["entity"], block=3).collect()
+    assert len(got) == len(exact) > 3
+    assert all(r[c] == pytest.approx(exact[r.entity][c], abs=1e-9) for r in got for c in columns)
+    assert len({round(sum(r[c] for c in columns), 6) for r in got}) > 1
+    assert model.tree_contributions(bundle, risk.limit(0), frame, ["entity"]).count() == 0
+
+
 def test_every_oracle_has_a_query():
     import __spark_entry__ as entry
 

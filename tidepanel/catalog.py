@@ -217,6 +217,31 @@ def upsert_outcomes(spark, d):
     return _flat(upsert.upsert(outcome(state), outcome(batch), ["code", "month"], ["on_concession"]))
 
 
+def upsert_clocked(spark, d):
+    """A landed table after an upsert of its late months: when a key came, and when a batch last had it."""
+    state, batch = (rows.withColumn("month", month_text(F.col("month"))).select("code", "month", "total_items") for rows in _state_and_batch(spark, d))
+    path, staging, clocks = fresh_path(spark), fresh_path(spark), ["came_at", "seen_at"]
+    landing.write_months(state.withColumns({c: F.lit("2020-01-01").cast("timestamp") for c in clocks}), path)
+    upsert.upsert_months(spark, path, staging, batch, ["code", "month"], ["total_items"], came=clocks[:1], seen=clocks[1:], now=F.lit("2020-02-01").cast("timestamp"))
+    told = landing.read_evolved(spark, path).withColumn("month", F.col("month").cast("string"))
+    return _flat(told.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in clocks}))
+
+
+def csv_order_lines(spark, d):
+    """Orders written as CSV in two orders of columns, some lines with a field too many, too few or an open quote: the rows read back, and the lines set apart."""
+    k, names = F.col("o_orderkey"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
+    orders = proxies.table(spark, d, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    paths = []
+    for i, order in enumerate((names, [names[3], names[2], names[0], names[1]])):
+        whole = F.concat_ws(",", *order)
+        line = F.when(k % 97 == 0, F.concat(whole, F.lit(",more"))).when(k % 89 == 0, F.col(order[0]).cast("string")).when(k % 83 == 0, F.concat_ws(",", order[0], F.concat(F.lit('"'), order[1]), *order[2:])).otherwise(whole)
+        paths.append(fresh_path(spark))
+        # One column, whose name is the header: nothing in it is a separator or a quote to this writer.
+        orders.where(k % 2 == i).select(line.alias(",".join(order))).write.option("header", True).option("sep", "\x01").option("quote", "\x02").csv(paths[-1])
+    good, broken = tables.csv_routes(spark, paths, names)
+    return good.withColumns({c: F.col(c).cast("long") for c in names[:2]}).unionByName(broken, allowMissingColumns=True)
+
+
 def duplicate_code_months(spark, d):
     both = proxies.facts(spark, d, "part").groupBy("code", "month", "practice").agg(F.sum("items").alias("x"))
     return _flat(quality.duplicate_keys(both, ["code", "month"]))
@@ -392,6 +417,17 @@ def trained_scores(spark, d):
     return bundle.score(model.at_risk(frame)).select("chemical", month_text(F.col("month")).alias("month"), "score")
 
 
+def explained_by_trees(spark, d):
+    """The ten best rows of the latest month, told by what the fully trained trees add for each feature."""
+    frame = written(model.model_frame(_chemical_features(spark, d)))
+    bundle = model.train(frame, model.HISTORY)
+    top = written(bundle.score(model.at_risk(frame)).orderBy(F.col("score").desc_nulls_last(), "chemical").limit(10))
+    told_by = dict(zip(explain.WEIGHTS, ("streak_length", "time_since", "n_previous_episodes", "rate_filled", "month_sin", "month_cos")))
+    shares = model.tree_contributions(bundle, top, frame, ["chemical"]).select("chemical", *[F.col(c).alias(f"_w_{k}") for k, c in told_by.items()])
+    told = explain.explain_top(top.join(F.broadcast(shares), "chemical"), "chemical", _weights())  # ten rows
+    return told.select("chemical", month_text(F.col("month")).alias("month"), "score", "explanation", "explanation_method")
+
+
 QUERIES = {f.__name__: f for f in (
     volume_hhi_brand, volume_hhi_part, volume_hhi_members, volume_cross_check, series_profile, canonical_names, unstable_packs, pack_history, chemical_history,
     persistence_pack, persistence_chemical, recent_panel_rows, lagged_features, lagged_coverage, fair_comparison_set, lagged_through_codes, baseline_rates,
@@ -400,4 +436,5 @@ QUERIES = {f.__name__: f for f in (
     run_metrics, resolved_names, resolution_tally, resolver_known_answers, volume_over_codes, partial_volume_names, json_series, page_links, page_month_links,
     page_text_links, page_latest_tokens, price_page_rows, price_page_faults, fact_sentences, sentence_audits, explained_top, latest_predictions, entity_history,
     table_totals, trained_scores, drawn_top_10, walk_forward_scores, walk_forward_comparison, landed_range, sorted_panel, gate_report,
+    upsert_clocked, csv_order_lines, explained_by_trees,
 )}

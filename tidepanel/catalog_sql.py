@@ -178,6 +178,13 @@ ORACLES = {
     "upsert_scores_keep_text": f"WITH {STATE} SELECT {KEY}, round(CASE WHEN ba.code IS NULL THEN st.hhi ELSE ba.hhi END, 8) AS score, CASE WHEN st.code IS NULL THEN {TOLD.format(t='ba', m=4)} ELSE {TOLD.format(t='st', m=7)} END AS explanation, coalesce(ba.run, st.run)::BIGINT AS run {BOTH}",
     "upsert_scores_take_text": f"WITH {STATE} SELECT {KEY}, round(CASE WHEN ba.code IS NULL THEN st.hhi ELSE ba.hhi END, 8) AS score, CASE WHEN ba.code IS NULL THEN {TOLD.format(t='st', m=7)} ELSE {TOLD.format(t='ba', m=4)} END AS explanation, coalesce(ba.run, st.run)::BIGINT AS run {BOTH}",
     "upsert_outcomes": f"WITH {STATE} SELECT {KEY}, coalesce(ba.total_items, st.total_items) > 100 AS on_concession, coalesce(st.run, ba.run)::BIGINT AS recorded_run {BOTH}",
+    "upsert_clocked": f"WITH {STATE} SELECT {KEY}, CASE WHEN ba.code IS NULL THEN st.total_items ELSE ba.total_items END AS total_items, CASE WHEN st.code IS NULL THEN '2020-02-01' ELSE '2020-01-01' END AS came_at, CASE WHEN ba.code IS NULL THEN '2020-01-01' ELSE '2020-02-01' END AS seen_at {BOTH}",
+    "csv_order_lines": """WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 97 = 0 AS more, o_orderkey % 89 = 0 AS less, o_orderkey % 83 = 0 AS quoted, o_orderkey % 2 = 0 AS even FROM orders)
+        SELECT CASE WHEN NOT (more OR less OR quoted) THEN o_orderkey END AS o_orderkey, CASE WHEN NOT (more OR less OR quoted) THEN o_custkey END AS o_custkey,
+        CASE WHEN NOT (more OR less OR quoted) THEN o_orderstatus END AS o_orderstatus, CASE WHEN NOT (more OR less OR quoted) THEN day END AS o_orderdate,
+        CASE WHEN more AND even THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, day, 'more') WHEN more THEN concat_ws(',', day, o_orderstatus, o_orderkey, o_custkey, 'more')
+        WHEN less AND even THEN o_orderkey::VARCHAR WHEN less THEN day
+        WHEN quoted AND even THEN concat(o_orderkey, ',"', concat_ws(',', o_custkey, o_orderstatus, day)) WHEN quoted THEN concat(day, ',"', concat_ws(',', o_orderstatus, o_orderkey, o_custkey)) END AS line FROM o""",
     "duplicate_code_months": f"WITH {EPD} SELECT p_partkey::VARCHAR AS code, strftime(month, '%Y%m') AS month, count(DISTINCT practice) AS n_rows FROM epd GROUP BY ALL HAVING count(DISTINCT practice) > 1",
     "month_sizes_off": f"WITH {EPD}, {SERIES} SELECT strftime(month, '%Y%m') AS month, count(*) AS n_rows FROM series GROUP BY ALL HAVING count(*) <> 200",
     "overlapping_months": f"WITH {EPD}, {SERIES} SELECT DISTINCT strftime(month, '%Y%m') AS month FROM series WHERE month < DATE '2000-01-01' AND month >= DATE '1999-01-01'",
