@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from tidepanel.llm import mixing, packing, quality_cnn, simhash
+from tidepanel.llm import mixing, packing, quality_cnn, similar
 
 from .test_operators import labelled, lower, prose
 
@@ -33,7 +33,7 @@ def test_stages(spark, tmp_path):
     for i, t in stage[1]:
         best[lower(t)] = max(i, best.get(lower(t), i))
     assert sorted(i for i, _ in stage[2]) == sorted(best.values())
-    near = simhash.near_dedup(seen[2]).collect()
+    near = similar.similar_components(similar.wide_fingerprints(seen[2])).collect()
     assert sorted(i for i, _ in stage[3]) == sorted({r.component_id for r in near}) and not {2000, 2001} <= {i for i, _ in stage[3]}
     copies = {r.doc_id: r.base + r.extra for r in mixing.mix(seen[3]).collect()}
     assert sorted(i for i, _ in stage[4]) == sorted(i for i, n in copies.items() for _ in range(n))
