@@ -1,6 +1,7 @@
 """The panel library on small tables whose answers are known."""
 
 import datetime as dt
+import itertools
 import math
 
 import pytest
@@ -232,6 +233,36 @@ def test_resolver_against_all_pairs(spark):
     assert resolve.resolve(asked.limit(0), codes).count() == 0 and {r.status for r in resolve.resolve(asked, codes.limit(0)).collect()} == {resolve.NO_MATCH}
 
 
+def test_names_meet_few_codes_more_than_they_match(spark):
+    """At two sizes of the dimension: grams are as long as the names allow, so their frequency does not grow with the codes."""
+    met, matched = [], []
+    for n in (2000, 4000):
+        dim = spark.range(n).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("code"), F.concat(F.lit("Red ring no "), F.col("id")).alias("code_name"), F.lit("s").alias("section"))
+        names = dim.where("id % 2 = 0").select(F.col("code_name").alias("name"))
+        asked, low = names.withColumn("_name", F.lower("name")), dim.select(F.lower("code_name").alias("_low"), F.col("code").alias("_row"))
+        met.append(resolve.meetings(asked, low, 500).count())
+        found = resolve.name_matches(names, dim, 500)
+        matched.append(found.count())
+    lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in found._jdf.queryExecution().executedPlan().toString().splitlines()]
+    for i, (deep, line) in enumerate(lines):
+        if "BroadcastExchange" in line:  # no explosion goes through the driver
+            assert not any("Generate" in x for d, x in itertools.takewhile(lambda r: r[0] > deep, lines[i + 1 :]))
+    assert all(b <= a < 2 * b for a, b in zip(met, matched))
+    want = sum(str(j).startswith(str(i)) for i in range(0, 2000, 2) for j in range(2000))
+    assert matched[0] == want
+
+
+def test_codes_from_matches_are_those_of_the_candidates(spark):
+    """Codes that repeat, null sections and a null code; a name with one prefix match, several, and only matches inside."""
+    dim = spark.createDataFrame([("000000001", "Iron a", "s"), ("000000001", "Iron a", "s"), ("000000002", "Iron b", None), ("000000003", "Oil of iron", "t"), (None, "Zinc oxide", "s"), ("000000005", "More zinc oxide", "s"), ("000000006", "Tin", "s")], "code string, code_name string, section string")
+    names = spark.createDataFrame([(n,) for n in ("iron", "zinc oxide", "oxide", "tin", "iron a", "of iron", "none")], "name string")
+    found = resolve.name_matches(names, dim)
+    answers = resolve.resolved(names, found)
+    old = resolve.codes_of(answers.where(F.col("status") != resolve.NO_MATCH).join(resolve.candidates(found), "name", "left"))
+    got = rows(resolve.matched_codes(answers, found), "name", "code")
+    assert got == rows(old, "name", "code") and {"iron", "tin", "zinc oxide"} <= {r[0] for r in got}
+
+
 def test_the_gate_report_has_the_counts_of_the_single_gates(spark):
     values = [("a", M[0]), ("a", M[1]), ("b", M[1]), ("b", M[1]), ("c", M[5]), (None, M[2]), ("d", None)]
     df = spark.createDataFrame(values, "pack string, month date")
