@@ -112,10 +112,10 @@ def fair_comparison_set(spark, d):
 
 
 def lagged_through_codes(spark, d):
-    resolved = resolve.resolve(*_names(spark, d)).where(F.col("status") == resolve.OK).select(F.col("name").alias("chemical"), "code")
+    resolved = written(resolve.resolve(*_names(spark, d)).where(F.col("status") == resolve.OK).select(F.col("name").alias("chemical"), "code"))
     values = proxies.table(spark, d, "lineitem").groupBy(F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("code"), F.trunc("l_shipdate", "month").alias("month")).agg(F.sum("l_quantity").alias("total_items"))
     months = values.select("month").distinct()
-    wanted = lagjoin.through_map(resolved.select("chemical").crossJoin(F.broadcast(months)), resolved, "chemical")  # a row a month
+    wanted = lagjoin.through_map(resolved.select("chemical"), resolved, "chemical").crossJoin(F.broadcast(months))  # a row a month
     return _flat(lagjoin.lagged_join(wanted, values, "code", 2, "_lag"))
 
 
@@ -313,8 +313,7 @@ def resolver_known_answers(spark, d):
 def _volume(spark, d) -> DataFrame:
     names, dimension = _names(spark, d)
     found = written(resolve.name_matches(names, dimension))
-    resolved = resolve.resolved(names, found).join(resolve.candidates(found), "name", "left")
-    codes = resolve.codes_of(resolved.where(F.col("status") != resolve.NO_MATCH))
+    codes = resolve.matched_codes(resolve.resolved(names, found), found)
     values = proxies.table(spark, d, "lineitem").groupBy(F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("code"), F.trunc("l_shipdate", "month").alias("month")).agg(F.sum("l_quantity").alias("items"))
     lost = F.col("code").endswith("7")
     return resolve.volume_over_codes(codes, values.where(~lost), dimension.where(lost))
