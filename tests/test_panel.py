@@ -378,3 +378,16 @@ def test_every_oracle_has_a_query():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_a_panel_has_partitions_by_its_cells_and_is_sorted_once(spark, monkeypatch):
+    """Also a null entity, which is never on, a null month, and no event at all."""
+    monkeypatch.setattr(panel, "CELLS", 40)
+    values = [(f"e{i}", M[i % 6]) for i in range(60)] + [(None, M[1]), ("f", None)]
+    events = spark.createDataFrame(values, "entity string, month date")
+    dense = panel.dense_panel(events, "entity")
+    assert 62 * 6 / 40 * 0.8 < dense.rdd.getNumPartitions() < 62 * 6 / 40 * 1.3 + 1
+    assert rows(dense.select(F.coalesce("entity", F.lit("")), "month", "on_concession"), "month", "coalesce(entity, )") == sorted(((e, m, (e, m) in values) for e in [*(f"e{i}" for i in range(60)), "", "f"] for m in M[:6]), key=lambda r: (r[1], r[0]))
+    plan = history.history_features(dense, "entity")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert panel.dense_panel(events.limit(0), "entity").count() == 0

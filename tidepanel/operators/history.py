@@ -11,17 +11,17 @@ from ..functions.months import month_index
 def history_features(panel: DataFrame, entity: str) -> DataFrame:
     """panel: entity, month, on_concession, one row a month -> the same with features and label_onset_next_month.
 
-    All windows stand on the entity, so the panel is shuffled once. The rate at a month counts transitions that began
+    All windows stand on the entity and its months, so the panel is sorted once, and shuffled only if it is not dealt by entity. The rate at a month counts transitions that began
     in an earlier row; without one it is null.
     """
     w = Window.partitionBy(entity).orderBy("month")
     so_far, earlier = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     on = F.col("on_concession")
-    base = panel.withColumns({"_prev": F.lag(on).over(w), "_next": F.lead(on).over(w), "_index": month_index(F.col("month"))})
+    base = panel.withColumns({"_prev": F.lag(on).over(w), "_next": F.lead(on).over(w), "_index": month_index(F.col("month")), "_at": F.row_number().over(w)})
     clear = ~on & F.col("_next").isNotNull()
     marked = base.withColumns(
         {
-            "_streak": F.sum((~on.eqNullSafe(F.col("_prev"))).cast("int")).over(so_far),
+            "_since": F.last(F.when(~on.eqNullSafe(F.col("_prev")), F.col("_at")), ignorenulls=True).over(so_far),
             "_last_on": F.last(F.when(on, F.col("_index")), ignorenulls=True).over(so_far),
             "n_previous_episodes": F.sum((on & ~F.coalesce("_prev", F.lit(False))).cast("int")).over(so_far),
             "_onsets": F.sum((clear & F.col("_next")).cast("int")).over(earlier),
@@ -31,7 +31,7 @@ def history_features(panel: DataFrame, entity: str) -> DataFrame:
     )
     return marked.select(
         entity, "month", "on_concession",
-        F.row_number().over(Window.partitionBy(entity, "_streak").orderBy("month")).alias("streak_length"),
+        (F.col("_at") - F.col("_since") + 1).alias("streak_length"),
         (F.col("_index") - F.col("_last_on")).alias("time_since_last_concession"),
         F.col("_last_on").isNull().alias("never_seen_on_concession"),
         "n_previous_episodes",

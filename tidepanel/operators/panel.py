@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import written
+
+#: Cells of a panel that one task holds, about.
+CELLS = 250_000
+
 
 def canonical_names(events: DataFrame) -> DataFrame:
     """events: pack, chemical, month -> pack, chemical: the name in the pack's latest month, the greatest of several."""
@@ -28,12 +35,16 @@ def unmapped(events: DataFrame) -> DataFrame:
 def dense_panel(events: DataFrame, entity: str) -> DataFrame:
     """entity, month, on_concession for every entity in every month from the first to the last event.
 
-    The calendar is one row of two dates, so each entity is multiplied by the months alone.
+    The events are shuffled, with one row for each entity and month that has any; the cells are made after that, where their
+    entity is. The panel has one partition for about CELLS of its cells, so a task that sorts them stays as it is when the panel grows.
     """
-    marks = events.select(entity, "month").distinct()
-    bounds = events.agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
-    cells = marks.select(entity).distinct().crossJoin(F.broadcast(bounds)).select(entity, F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month"))
-    return cells.join(marks.withColumn("_hit", F.lit(True)), [entity, "month"], "left").select(entity, "month", F.coalesce("_hit", F.lit(False)).alias("on_concession"))
+    marks = written(events.select(entity, "month").distinct())
+    lo, hi, n, months = marks.agg(F.min("month"), F.max("month"), F.approx_count_distinct(entity), F.count_distinct("month")).first()
+    span = 12 * (hi.year - lo.year) + hi.month - lo.month + 1 if lo else 1
+    one = marks.repartition(max(1, ceil(n * max(span, months) / CELLS)), entity).groupBy(entity).agg(F.collect_set("month").alias("_marks"))
+    calendar = F.sequence(F.lit(lo), F.lit(hi), F.expr("interval 1 month")) if lo else F.array().cast(f"array<{marks.schema['month'].dataType.simpleString()}>")
+    cells = one.select(entity, "_marks", F.explode(calendar).alias("month"))
+    return cells.select(entity, "month", (F.col(entity).isNotNull() & F.array_contains("_marks", F.col("month"))).alias("on_concession"))
 
 
 def persistence_and_onset(panel: DataFrame, entity: str) -> DataFrame:
