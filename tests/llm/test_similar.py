@@ -167,3 +167,48 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in similar.drop_similar(docs).collect())
     assert got == [(-1, "alone here"), (-1, "one"), (1, ""), (4, long + " end"), (6, "one"), (6, "one")]
     assert similar.drop_similar(docs).columns == docs.columns and similar.drop_similar(docs.limit(0)).count() == 0
+
+
+def borderline(rng, n):
+    """Texts in twos, the second with one to three words changed: similarities about the threshold."""
+    rows = []
+    for i in range(n):
+        base = prose(rng, rng.randrange(20, 110))
+        rows += [base, edited(rng, base, 1 + i % 3)]
+    return rows
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.5, 1.0])
+def test_texts_of_the_similarity_are_found_by_their_shingles(spark, similarity):
+    rng = random.Random(11)
+    header = prose(rng, 8)
+    rows = borderline(rng, 60) + [header + " " + prose(rng, 12) for _ in range(40)] + ["", "one", "one two", "ONE  two", "one two three four five six"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").repartition(3)
+    prints = similar.durable(similar.shingle_prints(docs, similar.bucket_counts(docs, buckets=64), similarity=similarity))
+    alone = prints.select("fp", similar.F.col("fp").alias("root")).distinct()
+    fp = {r.doc_id: bytes(r.fp) for r in prints.collect()}
+    assert fp == {i: similar.wide_simhash(t) for i, t in enumerate(rows)}
+    sets = [shingles(t) for t in rows]
+    true = {frozenset((fp[i], fp[j])) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j] and jaccard(sets[i], sets[j]) >= similarity and fp[i] != fp[j]}
+    found = {frozenset((bytes(r.u), bytes(r.v))) for r in similar.alike_roots(docs, prints, alone, similarity=similarity).collect()}
+    assert found == true and (similarity == 1.0) == (not true)
+
+
+def test_counts_of_buckets(spark):
+    texts = ["a b c d e f", "A b c d e f", None, "", "x y z", "a b c d e f g a b c d e f g"]
+    counts = similar.bucket_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2))
+    assert counts.sum() == sum(len(shingles(t or "")) for t in texts) and counts.max() >= 3 and len(counts) == similar.BUCKETS
+
+
+def test_no_two_texts_of_the_similarity_stay(spark):
+    """Cells alone leave out a tenth of such pairs, and the radius more."""
+    rng = random.Random(21)
+    rows = borderline(rng, 350) + [None, "", "same line", "same line"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    sets = [shingles(t or "") for t in rows]
+    alike = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] & sets[j] and jaccard(sets[i], sets[j]) >= 0.8]
+    known = {r.fp: r.component_id for r in similar.similar_components(similar.wide_fingerprints(docs)).collect()}
+    first = {}
+    by_cells = [(i, first.setdefault(known[similar.wide_simhash(t or "")], i)) for i, t in enumerate(rows)]
+    assert len(alike) > 100 and parts(len(rows), by_cells) != parts(len(rows), by_cells + alike)
+    assert {r.doc_id for r in similar.drop_similar(docs).collect()} == set(parts(len(rows), by_cells + alike))
